@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, simhash, toxicity
+from . import decontaminate, embeddings, mixing, sharding, simhash, toxicity, urls, warc
+from .store import materialize, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urls.train(urls.labelled_urls(spark))
+    out = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), model)
+    return out.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = sharding.shuffle_shards(docs, keep=["doc_id"])
@@ -45,8 +52,28 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.embedding_components(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    records = warc.read_warc(spark, path).withColumn("payload_sha1", F.sha1("payload")).drop("payload")
+    captures = warc.assemble(materialize(records, "warc-records"))
+    notes = F.element_at("metadata", 1)["fields"]
+    note = lambda name: F.try_element_at(notes, F.lit(name)).cast("long")
+    revisit = F.col("response.type") == "revisit"
+    digest = F.when(revisit, F.regexp_replace("response.payload_digest", "^sha1:", "")).otherwise(F.col("response.payload_sha1"))
+    return captures.select(
+        F.try_element_at(notes, F.lit("page-id")).try_cast("long").alias("page_id"), F.when(revisit, note("payload-bytes")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        digest.alias("payload_digest"), F.col("response.type").alias("record_type"), note("refers-to-page").alias("refers_to"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_sharding, op3_toxicity, op4_decontamination, op5_simhash, op6_mixing]
+    found = [op1_urls, op2_sharding, op3_toxicity, op4_decontamination, op5_simhash, op6_mixing, op8_embeddings, op9_warc]
     return {f.__name__: f for f in found}
 
 
