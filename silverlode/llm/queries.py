@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, mixing, sharding, simhash, toxicity, urls, warc
+from . import decontaminate, embeddings, mixing, pii, secrets, sharding, simhash, toxicity, urls, warc
 from .store import materialize, new_path
 
 
@@ -52,6 +52,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.train(docs))
+    return found.select("doc_id", *(f"pii.n_{k}" for k in pii.KINDS), "pii.base_sha256", "pii.spans")
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.embedding_components(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -72,8 +78,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.with_spans(docs, secrets.train(docs))
+    return found.select("doc_id", *(f"secrets.n_{k}" for k in secrets.KINDS), "secrets.base_sha256", "secrets.spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_urls, op2_sharding, op3_toxicity, op4_decontamination, op5_simhash, op6_mixing, op8_embeddings, op9_warc]
+    found = [op1_urls, op2_sharding, op3_toxicity, op4_decontamination, op5_simhash, op6_mixing, op7_pii, op8_embeddings, op9_warc, op10_secrets]
     return {f.__name__: f for f in found}
 
 
