@@ -32,7 +32,7 @@ _DIGIT = re.compile(r"[0-9]")
 EXAMPLES, ENOUGH, ORDINARY = 300, 12, 4000
 ALPHA = 0.05
 #: Mean gain per character, in nats, of a format over an ordinary token.
-MARGIN = 0.35
+MARGIN = 0.8
 END = ""
 
 
