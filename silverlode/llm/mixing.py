@@ -23,7 +23,7 @@ SEED = 6
 #: Words left for dynamic programming after the greedy steps; a document beyond this is for the greedy steps alone.
 RESIDUE = 8192
 #: Parts into which the documents of one length of one source are dealt, so that a hot length is no single task's.
-PARTS = 4096
+PARTS = 512
 #: A mixture names a weight for each source, so a driver-side table of them is bounded; more than this raises.
 MAX_SOURCES = 100_000
 
