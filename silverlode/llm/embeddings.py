@@ -123,7 +123,8 @@ def embedding_components(df: DataFrame, id: str = "vec_id", vector: str = "embed
     known = nodes.select("node", "least", "n").join(sums, "node", "left").join(labels, F.col("node") == F.col("_node"), "left")
     known = known.select(F.col("node").alias("_n"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("links"), F.coalesce("root", "node").alias("_root"), "least")
     known = materialize(known, "embedding-known")
-    least = known.groupBy("_root").agg(F.min("least").alias("component_id"))
+    # written first: the join is then plain, so adaptive execution can split a large component
+    least = materialize(known.groupBy("_root").agg(F.min("least").alias("component_id")), "embedding-least")
     table = materialize(known.join(least, "_root").select("_n", "links", "component_id"), "embedding-table")
     out = rows.select("id", "node").join(table, F.col("node") == F.col("_n"), "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))

@@ -283,7 +283,8 @@ def simhash_components(df: DataFrame, id: str = "doc_id", text: str = "text", ho
     rooted = reps.join(labels, reps["fp"] == labels["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "rep"
     )
-    least = rooted.groupBy("root").agg(F.min("rep").alias("least"))
+    # written first: the join is then plain, so adaptive execution can split a large component
+    least = materialize(rooted.groupBy("root").agg(F.min("rep").alias("least")), "simhash-least")
     table = rooted.select("fp", "root").join(least, "root")
     table = materialize(table.select(F.col("fp").alias("_fp"), "root", F.col("least.id").alias("component_id"), F.col("least.text_hash").alias("keeper_hash")), "simhash-table")
     return slim.join(table, slim["fp"] == table["_fp"], "left").drop("_fp")
