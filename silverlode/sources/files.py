@@ -118,26 +118,24 @@ def _from_json(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def read_json(spark: SparkSession, path: str, contract: SourceContract, streaming: bool = False) -> DataFrame:
     """JSON lines as texts, with lineage and rescue."""
     reader = spark.readStream if streaming else spark.read
-    lines = _lineage(reader.format("text").option("recursiveFileLookup", "true").load(path))
+    # a stream would otherwise leave out files older than a week beside the newest
+    lines = _lineage(reader.format("text").option("recursiveFileLookup", "true").option("maxFileAge", "3650d").load(path))
     return _from_json(lines, (*contract.columns, "_ingestion_order"))
 
 
-def read_csv(spark: SparkSession, path: str, contract: SourceContract, streaming: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], contract: SourceContract) -> DataFrame:
     """CSV with a header as texts, by name: each row is read against its own file's header.
 
     A fixed schema would be applied by position, so a file with one more column would shift the rest.
     Files are read as lines without a header, and the header line of each file, a row for each file,
     names the fields; columns beyond the contract go to ``_rescued_data``. A quoted field keeps
-    delimiters but not line ends.
+    delimiters but not line ends. A stream goes through ``streaming.bronze``, which reads each batch so.
     """
     columns = (*contract.columns, "_ingestion_order")
-    reader = spark.readStream if streaming else spark.read
     width = len(columns) + 16
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = reader.format("csv").schema(schema).option("header", "false").option("recursiveFileLookup", "true").load(path)
+    rows = spark.read.format("csv").schema(schema).option("header", "false").option("recursiveFileLookup", "true").load(path)
     rows = _lineage(rows).withColumn("_cells", F.array(*(f"_c{i}" for i in range(width)))).drop(*(f"_c{i}" for i in range(width)))
-    if streaming:
-        raise ValueError("stream CSV through streaming.bronze, which reads each batch by name")
     first = F.col("_cells")[0].isin(*columns) & F.exists("_cells", lambda c: c == contract.identity[0])
     heads = rows.where(first).groupBy("_file_path").agg(F.any_value("_cells").alias("_names"))
     body = rows.where(~F.coalesce(first, F.lit(False))).join(heads.withColumnRenamed("_file_path", "_hp"), F.col("_file_path") == F.col("_hp"), "left")

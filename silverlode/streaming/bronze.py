@@ -10,6 +10,9 @@ from ..sources.files import read_csv, read_json
 from ..sources.tables import Warehouse
 
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def start_flow(spark: SparkSession, landing: str, warehouse: Warehouse, source: Source, contract: SourceContract, emitter: str | None, checkpoints: str) -> StreamingQuery:
     """One append flow: what is new at the emitter's path, once, into the source's bronze table.
 
@@ -23,7 +26,7 @@ def start_flow(spark: SparkSession, landing: str, warehouse: Warehouse, source:
     if source.format == "json":
         stream = read_json(spark, path, contract, streaming=True)
         return stream.writeStream.foreachBatch(_append(table, flow)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    names = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFileAge", "3650d").load(path).select("path")
+    names = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", "true").option("maxFileAge", "3650d").load(path).select("path")
 
     def batch(found: DataFrame, batch_id: int) -> None:
         # one name for each new file, bounded by the batch

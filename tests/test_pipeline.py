@@ -1,0 +1,115 @@
+import re
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+
+from silverlode.operators import dq
+from silverlode.plans import config, scenarios
+from silverlode.plans.medallion import Pipeline
+from silverlode.sources import files, landing
+from silverlode.sources.tables import Warehouse
+from silverlode.streaming.bronze import read_bronze
+
+SOURCES, CONTRACTS = config.load_sources(), config.load_source_contracts()
+
+
+def small(name, cap=60, variant=None):
+    s = scenarios.load(name)
+    cut = lambda batches: {k: scenarios.Batch(min(cap, b.rows), b.faults, b.emitters) for k, b in batches.items()}
+    s = scenarios.Scenario(s.name, s.clock, cut(s.batches), s.replay_of, s.expected_absent, {v: cut(b) for v, b in s.variants.items()})
+    return scenarios.generate(s, variant)
+
+
+def test_scenarios_are_the_same_every_time():
+    for name in scenarios.list_scenarios():
+        if name not in ("day1_clean", "replay_day1"):
+            a, b = scenarios.generate(scenarios.load(name)), scenarios.generate(scenarios.load(name))
+            assert [landing.render(f, SOURCES[f.source].format, list(CONTRACTS[f.source].columns)) for f in a] == [landing.render(f, SOURCES[f.source].format, list(CONTRACTS[f.source].columns)) for f in b]
+
+
+def test_clocks_are_unique_and_volumes_add_up():
+    loaded = [scenarios.load(n) for n in scenarios.list_scenarios()]
+    assert len({s.clock for s in loaded}) == len(loaded)
+    assert sum(s.batches["customer_activity"].rows for s in loaded if "customer_activity" in s.batches) == 88_000
+
+
+def test_scenario_errors():
+    ok = {"scenario": "x", "logical_clock": "2026-01-01T00:00:00Z", "batches": {"stores": {"rows": 1}}}
+    assert scenarios.parse(ok, SOURCES, set()).batches["stores"].rows == 1
+    for bad in (
+        {"logical_clock": "2026-01-01T00:00:00"}, {"replay_of": "x"}, {"batches": {"stores": {"rows": 1, "faults": ["odd"]}}}, {"batches": {"odd": {"rows": 1}}}, {"expected_absent": ["order_events.east"]}, {"odd": 1}, {"batches": {"stores": {"rows": 0}}},
+    ):
+        with pytest.raises(config.ConfigError):
+            scenarios.parse(ok | bad, SOURCES, {"x"})
+
+
+def test_names():
+    b = files.parse_name("order_events_20260606_080000_001.json")
+    assert (b.source, b.sequence, b.extension, b.batch_ts) == ("order_events", 1, "json", datetime(2026, 6, 6, 8))
+    for bad in (None, "", "x", "orders_20261345_080000_1.csv", "a/b", "orders_2026_08_1.csv"):
+        assert files.parse_name(bad).malformed
+    assert files.file_identity(" a//b/../c ") == "a/c"
+    s = SOURCES["order_events"]
+    assert files.check_file(s, "order_events_20260606_080000_001.json", "north", 10) == []
+    assert files.check_file(s, "odd.csv", "east", 0) == ["malformed_name", "unknown_emitter", "empty_file"]
+    assert files.check_file(SOURCES["stores"], "stores_20260606_080000_001.json") == ["wrong_format"]
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    header = ",".join(CONTRACTS["stores"].columns)
+    (tmp_path / "stores_20260606_080000_001.csv").write_text(f'{header},_ingestion_order\n1,"A, B",NORTH,KIOSK,M,2020-01-01,,2026-06-06T08:00:00Z,0\n')
+    (tmp_path / "stores_20260607_080000_001.csv").write_text(f"{header},colour,_ingestion_order\n2,C,SOUTH,KIOSK,M,2020-01-01,,2026-06-07T08:00:00Z,red,5\n")
+    got = files.read_csv(spark, str(tmp_path), CONTRACTS["stores"]).orderBy("store_id").collect()
+    assert [(r["store_id"], r["store_name"], r["_ingestion_order"], r["_rescued_data"], str(r["_batch_date"])) for r in got] == [("1", "A, B", "0", None, "2026-06-06"), ("2", "C", "5", '{"colour":"red"}', "2026-06-07")]
+
+
+def test_pipeline_story(spark, tmp_path):
+    root = tmp_path / "landing"
+    pipeline = Pipeline(spark, str(root), Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "cp"), datetime(2026, 6, 13, tzinfo=timezone.utc))
+    w = pipeline.warehouse
+    landing.write(small("day1_clean"), root, SOURCES, CONTRACTS)
+    assert pipeline.run().isEmpty()
+    assert {r["source"]: (r["bronze_rows"], r["quarantine_rows"]) for r in w.read("gold", "dq_reconciliation").collect()} == {
+        "customers": (60, 0), "products": (60, 0), "stores": (25, 0), "customer_updates": (50, 0), "order_events": (60, 0), "customer_activity": (60, 0),
+    }
+    landing.write(small("day1_clean"), root, SOURCES, CONTRACTS)  # the same files again, newer
+    landing.write([f for n in ("day4_deletes", "poison_day") for f in small(n)], root, SOURCES, CONTRACTS)
+    assert pipeline.run().isEmpty()
+    counts = {r["source"]: (r["bronze_rows"], r["quarantine_rows"]) for r in w.read("gold", "dq_reconciliation").collect()}
+    assert counts["customers"][0] == 60 + 62 and counts["order_events"][0] == 60 + 60 + 61
+    reasons = {x for r in w.read("silver", "order_events_quarantine").collect() for x in r["reason"]}
+    assert {"event_ts_plausibility", "quantity_range", "key_duplicate", "customer_id_null_key"} <= reasons
+    assert w.read("silver", "dim_customer_held_orphans").where("customer_id = 88888").count() == 1
+    assert w.read("gold", "dim_customer").groupBy("customer_id").count().where("count > 1").isEmpty()
+    assert w.read("ops", "pipeline_runs").select("run_id").distinct().count() == 2
+    assert w.read("gold", "fct_sales").count() + w.read("gold", "fct_sales_excluded").count() == w.read("silver", "order_events_valid").select("order_id").distinct().count()
+
+
+def test_drift(spark, tmp_path):
+    root = tmp_path / "landing"
+    pipeline = Pipeline(spark, str(root), Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "cp"), datetime(2026, 6, 13, tzinfo=timezone.utc))
+    landing.write(small("day5_schema_drift"), root, SOURCES, CONTRACTS)
+    pipeline.run()
+    assert read_bronze(pipeline.warehouse, "order_events").where("_rescued_data is not null").count() == 2
+    assert pipeline.warehouse.read("ops", "dq_results").where("column = 'activity_ts' and rule = 'try_cast'").first()["violations"] == 3
+    files_ = [f for f in small("day5_schema_drift", variant="drift_gate_trip")]
+    renamed = [landing.LandingFile(f.source, f.emitter, f.name.replace("_080000_", "_090000_"), f.records) for f in files_]
+    landing.write(renamed, root, SOURCES, CONTRACTS)
+    with pytest.raises(dq.GateError):
+        pipeline.run()
+
+
+def test_nothing_but_the_entry_point_imports_the_training_data_subpackage():
+    top = Path(__file__).resolve().parent.parent
+    for p in (top / "silverlode").rglob("*.py"):
+        if "llm" not in p.relative_to(top).parts:
+            assert not re.search(r"\bllm\b", p.read_text()), p
+
+
+def test_cli(tmp_path, capsys):
+    from silverlode import cli
+
+    assert cli.main(["emulate", "--scenario=day6_silence", f"--landing={tmp_path}"]) == 0
+    assert len(capsys.readouterr().out.split()) == 2
+    assert cli.main([]) == 64
