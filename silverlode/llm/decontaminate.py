@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import reach_package
+
 WINDOW = 5
 #: Windows of an item that have to be found near one another: this share of them, or this number where that is fewer.
 SHARE = 0.8
@@ -182,6 +184,7 @@ def _blocks(benchmark: DataFrame, id: str, text: str, block: int) -> Iterator[li
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks", block: int = BLOCK) -> DataFrame:
     """``docs`` with an array of ``(item, windows)`` that each text holds; no shuffle."""
+    reach_package(docs.sparkSession)
     kind = benchmark.schema[item_id].dataType.simpleString()
     context = docs.sparkSession.sparkContext
     columns = [_leaks_udf(context.broadcast(Templates(items)), kind)(F.col(text)) for items in _blocks(benchmark, item_id, item_text, block)]

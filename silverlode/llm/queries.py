@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, embeddings, mixing, pii, secrets, sharding, simhash, toxicity, urls, warc
-from .store import materialize, new_path
+from .store import materialize, new_path, reach_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_ROOT = "/tmp/checkpoints/silverlode"
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import the package, wherever the driver was started.
+
+    On a cluster the package is installed or shipped with ``--py-files``; the path is then of no effect.
+    """
+    here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (here, known) if p)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -30,6 +43,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends at files that survive executors."""
     spark = df.sparkSession
+    reach_package(spark)
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
