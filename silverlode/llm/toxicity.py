@@ -25,7 +25,9 @@ from .store import materialize
 #: The bound of the labelled sample, of each class, taken in the order of seeded hashes of the ids.
 SAMPLE = 6000
 FEATURES = 600
-LEAST = 4
+LEAST = 5
+#: How many times as frequent a feature has to be among toxic rows.
+RATIO = 8
 GRADES = 3
 PREFIXES = (3, 4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,7 +58,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-(z[:, None] - self.thresholds[None, :])))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-3, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-5, steps: int = 600, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds by full-batch Adam on the ordinal log-likelihood."""
     n, k = x.shape
     w, first, gaps = np.zeros(k), 2.0, np.zeros(max(grades - 1, 0))
@@ -129,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     n = bad + good
     miss_a, miss_b = F.lit(bad) - F.col("a"), F.lit(good) - F.col("b")
     chi = n * F.pow(F.col("a") * miss_b - F.col("b") * miss_a, 2) / F.greatest(F.lit(1.0), F.lit(float(bad) * max(good, 1)) * (F.col("a") + F.col("b")) * (miss_a + miss_b))
-    chosen = counts.where((F.col("a") >= least) & (F.col("a") * good > 3 * F.col("b") * bad)).orderBy(F.desc(chi), "feature").limit(top)
+    chosen = counts.where((F.col("a") >= least) & (F.col("a") * good > RATIO * F.col("b") * bad)).orderBy(F.desc(chi), "feature").limit(top)
     names = tuple(r["feature"] for r in chosen.select("feature").collect())
     if not names:
         return OrdinalModel((), np.zeros(0), np.full(grades, 30.0))
