@@ -52,8 +52,11 @@ def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, times: float
     return out
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, residue: int = RESIDUE) -> np.ndarray:
-    """How many documents of each length to take, at most ``counts``, for a total as near ``budget`` as found, never above it."""
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, residue: int = RESIDUE, times: int = 1) -> np.ndarray:
+    """How many documents of each length to take for a total as near ``budget`` as found.
+
+    At most ``counts``, each once, until the last step, which may take each up to ``times``.
+    """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     if budget >= total:
@@ -66,15 +69,18 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, residue: in
             more = min(int(counts[i] - take[i]), (left - residue) // size if size <= residue else left // size)
             take[i] += more
             left -= more * size
-    small = np.flatnonzero((lengths > 0) & (lengths <= left) & (counts > take))
-    used, reach = [], np.zeros(left + 1, bool) if left >= 0 else None
-    if not len(small):
+    bound = counts * times
+    open_ = (lengths > 0) & (bound > take)
+    if not open_.any() or left <= 0:
         return take
+    limit = left + int(lengths[open_].min())  # one document beyond the budget may be nearer than what stays below
+    small = np.flatnonzero(open_ & (lengths <= limit))
+    used, reach = [], np.zeros(limit + 1, bool)
     reach[0] = True
-    for i in small:  # reach of each prefix of lengths, with a count of uses along chains of one length
-        size, most = int(lengths[i]), int(counts[i] - take[i])
+    for i in small:  # how few of a length each sum needs, along the chains that its steps make
+        size, most = int(lengths[i]), int(bound[i] - take[i])
         step = np.where(reach, 0, most + 1).astype(np.int64)
-        for r in range(min(size, left + 1)):
+        for r in range(min(size, limit + 1)):
             chain = step[r::size]
             place = np.arange(len(chain))
             last = np.maximum.accumulate(np.where(chain == 0, place, -1))
@@ -83,7 +89,8 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, residue: in
         reach = step <= most
         if reach[left]:
             break
-    at = int(np.flatnonzero(reach)[-1])
+    found = np.flatnonzero(reach)
+    at = int(found[np.argmin(np.abs(found - left))])
     for i, step in zip(small[: len(used)][::-1], used[::-1]):
         n = int(step[at])
         take[i] += n
@@ -109,27 +116,28 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id: str = "do
     plan = []
     for r, t in zip(rows, goal):
         whole = int(t // r[1]) if r[1] else 0
-        plan.append((r[0], int(r[1]), float(t), min(whole, times), int(round(t - whole * r[1])) if whole < times and r[1] else 0))
-    table = spark.createDataFrame(plan, f"_src {df.schema[source].dataType.simpleString()}, _source_size long, _target double, _whole int, _budget long")
+        whole = min(whole, times)
+        plan.append((r[0], int(r[1]), float(t), whole, int(round(t - whole * r[1])) if whole < times and r[1] else 0, times - whole))
+    table = spark.createDataFrame(plan, f"_src {df.schema[source].dataType.simpleString()}, _source_size long, _target double, _whole int, _budget long, _more int")
     fitted = lengths.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")))
     fitted = fitted.groupBy("_src").applyInPandas(_fit_source, lengths_schema(df, source))
     fitted = materialize(fitted, "mix-takes")
     same = cells["_source"].eqNullSafe(fitted["_src"]) & (cells["_size"] == fitted["_len"])
     before = Window.partitionBy("_source", "_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    some = cells.join(fitted, same).where("_take > 0").withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    some = cells.join(fitted, same).where("_take > 0 or _each > 0").withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     need = F.greatest(F.lit(0), F.least(F.col("n"), F.col("_take") - F.col("_before")))
-    some = some.select(F.col("_source").alias("_cs"), F.col("_size").alias("_cl"), F.col("_part").alias("_cp"), need.alias("_need")).where("_need > 0")
+    some = some.select(F.col("_source").alias("_cs"), F.col("_size").alias("_cl"), F.col("_part").alias("_cp"), need.alias("_need"), "_each").where("_need > 0 or _each > 0")
     some = materialize(some, "mix-cells-taken")
     joined = sized.join(some, sized["_source"].eqNullSafe(some["_cs"]) & (sized["_size"] == some["_cl"]) & (sized["_part"] == some["_cp"]), "left")
     rank = F.row_number().over(Window.partitionBy("_source", "_size", "_part").orderBy("_h", id))
-    extra = F.when(F.col("_need").isNotNull() & (rank <= F.col("_need")), 1).otherwise(0)
+    extra = F.coalesce(F.col("_each"), F.lit(0)) + F.when(F.col("_need").isNotNull() & (rank <= F.col("_need")), 1).otherwise(0)
     out = joined.withColumn("_extra", extra).join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")), "left")
     copies = (F.coalesce("_whole", F.lit(0)) + F.col("_extra")).cast("int")
     return out.select(*df.columns, "_size", "_source_size", "_target", copies.alias("_copies"), (copies * F.col("_size")).cast("long").alias("_taken"))
 
 
 def lengths_schema(df: DataFrame, source: str) -> str:
-    return f"_src {df.schema[source].dataType.simpleString()}, _len long, _take long"
+    return f"_src {df.schema[source].dataType.simpleString()}, _len long, _each long, _take long"
 
 
 def _fit_source(frame):
@@ -137,5 +145,6 @@ def _fit_source(frame):
     import pandas as pd
 
     frame = frame.sort_values("_size")
-    take = fit_counts(frame["_size"].to_numpy(), frame["n"].to_numpy(), int(frame["_budget"].iloc[0]))
-    return pd.DataFrame({"_src": frame["_src"], "_len": frame["_size"], "_take": take})
+    counts = frame["n"].to_numpy()
+    take = fit_counts(frame["_size"].to_numpy(), counts, int(frame["_budget"].iloc[0]), times=int(frame["_more"].iloc[0]))
+    return pd.DataFrame({"_src": frame["_src"], "_len": frame["_size"], "_each": take // counts, "_take": take % counts})
