@@ -13,13 +13,6 @@ from ..plans.config import Rate, parse_rates
 
 BASE_CURRENCY = "USD"
 MONEY = "decimal(18,2)"
-#: Dimension tables of up to this many rows are sent to every executor; larger ones are shuffled.
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if a bounded probe finds it small enough."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 # ---- currency
@@ -108,11 +101,15 @@ def revenue_total(lines: DataFrame) -> DataFrame:
     return lines.agg(F.coalesce(F.sum("amount_base"), F.lit(0).cast(MONEY)).alias("total_base"))
 
 
-def with_product_asof(lines: DataFrame, products: DataFrame, broadcast: bool | None = None) -> DataFrame:
-    """Lines with the category and list price that held on the day of sale; a line without one keeps nulls."""
+def with_product_asof(lines: DataFrame, products: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Lines with the category and list price that held on the day of sale; a line without one keeps nulls.
+
+    The join has no hint unless asked for: Spark broadcasts a history that it finds, as planned or as
+    measured at run time, under its threshold, and shuffles a larger one.
+    """
     history = products.where("not is_deleted") if "is_deleted" in products.columns else products
     p = history.select(F.col("product_id").alias("_pid"), F.col("effective_date").alias("_from"), F.col("_to_effective_date").alias("_to"), F.col("_is_terminal").alias("_end"), "category", F.col("unit_price").alias("list_price"))
-    p = small(p) if broadcast is None else F.broadcast(p) if broadcast else p
+    p = F.broadcast(p) if broadcast else p
     held = F.col("_from").isNull() | (F.col("sale_date") >= F.col("_from"))
     return lines.join(p, (F.col("product_id") == F.col("_pid")) & held & (F.col("_end") | (F.col("sale_date") < F.col("_to"))), "left").drop("_pid", "_from", "_to", "_end")
 
@@ -143,7 +140,7 @@ def segment_sum(segment: str, value: object, dims: list[str], amount: str = "amo
 
 def with_region(lines: DataFrame, stores: DataFrame) -> DataFrame:
     """Lines with the current region of their store."""
-    s = small(stores.select(F.col("store_id").alias("_sid"), "region"))
+    s = stores.select(F.col("store_id").alias("_sid"), "region")
     return lines.join(s, F.col("store_id") == F.col("_sid"), "left").drop("_sid")
 
 

@@ -47,10 +47,12 @@ def parse_name(name: str | None) -> BatchName:
 
 def name_columns(name: Column) -> dict[str, Column]:
     """``parse_name`` over a column."""
-    part = lambda i: F.nullif(F.regexp_extract(name, NAME, i), F.lit(""))
-    ts = F.try_to_timestamp(F.concat(part(2), part(3)), F.lit("yyyyMMddHHmmss"))
+    # the pattern runs once: its groups, joined by a mark that no name holds, are taken apart again
+    groups = F.split(F.regexp_replace(name, NAME, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    part = lambda i: F.get(groups, F.lit(i))
+    ts = F.try_to_timestamp(F.concat(part(1), part(2)), F.lit("yyyyMMddHHmmss"))
     good = ts.isNotNull()
-    return {"source": F.when(good, part(1)), "batch_ts": ts, "sequence": F.when(good, part(4).try_cast("int")), "extension": F.when(good, part(5))}
+    return {"source": F.when(good, part(0)), "batch_ts": ts, "sequence": F.when(good, part(3).try_cast("int")), "extension": F.when(good, part(4))}
 
 
 def batch_date(name: Column) -> Column:

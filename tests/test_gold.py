@@ -45,7 +45,7 @@ def test_rate_lookup():
         gold.lookup_rate(RATES, "THB", date(2025, 1, 1))
 
 
-@pytest.mark.parametrize("broadcast", [True, False, None])
+@pytest.mark.parametrize("broadcast", [True, False])
 def test_product_asof(spark, broadcast):
     lines = spark.createDataFrame([(1, date(2026, 3, 1)), (1, date(2026, 6, 1)), (1, date(2025, 1, 1)), (2, date(2026, 3, 1))], "product_id bigint, sale_date date")
     products = spark.createDataFrame([(1, date(2026, 1, 1), date(2026, 6, 1), False, "OLD", Decimal(1)), (1, date(2026, 6, 1), None, True, "NEW", Decimal(2))], "product_id bigint, effective_date date, _to_effective_date date, _is_terminal boolean, category string, unit_price decimal(10,2)")
