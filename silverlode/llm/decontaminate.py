@@ -35,7 +35,8 @@ UNITS = frozenset(
     "second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents euro euros "
     "kb mb gb tb volt volts watt watts degree degrees".split()
 )
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[%$€£°]|[.!?\n]+")
+_TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+|\d+(?:[.,]\d+)*|[%$€£°]")
+_MARK, _CAPITAL, _HEAD = -1, -2, 22
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -72,6 +73,7 @@ class Templates:
             for form, kind in item:
                 if kind == "word":
                     self.vocabulary.setdefault(form, len(self.vocabulary) + 1)
+        self.known = _Known(self.vocabulary)
         hashes, owners, places = [], [], []
         self.slots, self.needed, self.lengths = [], [], []
         for k, item in enumerate(split):
@@ -87,6 +89,9 @@ class Templates:
         self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(self.hashes, kind="stable")
         self.hashes = self.hashes[order]
+        # a bit for each head of a hash that occurs: most windows of a text are turned away by one look
+        self.heads = np.zeros(1 << _HEAD, bool)
+        self.heads[self.hashes >> np.uint64(64 - _HEAD)] = True
         self.owners = (np.concatenate(owners) if owners else np.empty(0, int))[order]
         self.places = (np.concatenate(places) if places else np.empty(0, int))[order]
 
@@ -101,23 +106,21 @@ class Templates:
         n = len(code) - self.window + 1
         if n < 1:
             return np.zeros(0, bool), np.zeros(0, np.uint64)
-        h, ok, words = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, int)
+        h, ok, words = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, np.int8)
+        used, word = code > 0, (code > 3).view(np.int8)
         for j in range(self.window):
-            part = code[j : j + n]
-            h = h * np.uint64(_BASE) + part
-            ok &= part > 0
-            words += part > 3
+            h *= np.uint64(_BASE)
+            h += code[j : j + n]
+            ok &= used[j : j + n]
+            words += word[j : j + n]
         return ok & (words >= min(3, self.window)), (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
     def matches(self, text: str | None) -> list[tuple[int, int]]:
         """(item, number of its windows found together) for each item that the text holds."""
         if not text or not len(self.hashes):
             return []
-        if not self._possible(text):
-            return []
-        doc = tokens(text)
-        code = self._codes(doc)
-        ok, h = self._windows(code)
+        ok, h = self._windows(self.text_codes(text))
+        ok &= self.heads[h >> np.uint64(64 - _HEAD)]
         at = np.flatnonzero(ok)
         if not len(at):
             return []
@@ -127,25 +130,26 @@ class Templates:
         for p, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
             for k in range(a, b):
                 found.setdefault(int(self.owners[k]), []).append((int(p), int(self.places[k])))
-        out = []
+        if not found:
+            return []
+        doc, out = tokens(text), []
         for item, hits in found.items():
             if len(hits) >= self.needed[item] and (n := self._together(item, hits, doc)):
                 out.append((item, n))
         return out
 
-    def _possible(self, text: str) -> bool:
-        """Cheaply: does the text hold as many of the items' words in a row as any match must?"""
-        get = self.vocabulary.get
-        words = _QUICK.findall(text.lower())
-        if len(words) < 3:
-            return False
-        known = np.fromiter((get(w, 0) for w in words), np.int64, len(words)) > 0
-        if not known.any():
-            return False
-        # a window holds three known words at least among ``window`` tokens
-        total = np.concatenate([[0], np.cumsum(known)])
-        span = min(self.window, len(words))
-        return bool(((total[span:] - total[:-span]) >= 3).any())
+    def text_codes(self, text: str) -> np.ndarray:
+        """``_codes(tokens(text))`` for a whole text, with each form classified once and remembered."""
+        forms = _TOKEN.findall(text)
+        if len(self.known) > 1_000_000:
+            self.known.clear()
+        code = np.fromiter(map(self.known.__getitem__, forms), np.int64, len(forms))
+        mark = code == _MARK
+        start = np.ones(len(code), bool)
+        start[1:] = mark[:-1]
+        code[(code == _CAPITAL) & start] = 0
+        code[code == _CAPITAL] = 2
+        return code[~mark].astype(np.uint64)
 
     def _together(self, item: int, hits: list[tuple[int, int]], doc: list[tuple[str, str]]) -> int:
         """The most distinct windows of the item found within twice its length, values mapping one to one; 0 if too few."""
@@ -168,7 +172,27 @@ class Templates:
         return best if best >= need else 0
 
 
-_QUICK = re.compile(r"[^\W\d_]+")
+class _Known(dict):
+    """The code of each form as written; a capitalised one that items do not use is a name, but not at a start."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, form: str) -> int:
+        low = form.lower()
+        if form[0] in ".!?\n":
+            code = _MARK
+        elif form[0].isdigit():
+            code = 1
+        elif low in UNITS:
+            code = 3
+        else:
+            code = self.vocabulary.get(low) or (_CAPITAL if len(form) > 1 and form[0].isupper() and not form.isupper() else 0)
+        self[form] = code
+        return code
+
+    def __reduce__(self):
+        return _Known, (self.vocabulary,)
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str, block: int) -> Iterator[list[tuple[object, str]]]:

@@ -76,6 +76,15 @@ def test_templates():
     assert found(ITEM[:40]) == []
 
 
+def test_codes_of_texts_are_those_of_their_tokens():
+    rng = random.Random(12)
+    t = Templates([(1, ITEM), (2, "Name the hours. Of 5% and KM?")])
+    parts = ["Maria", "maria", "A", "a", "train", "Train", "TRAIN", "Zoë", "zoë", "5", "5.5", "1,000", "km", "Km", "%", ".", "!?", "\n", " ", " ", "-", "_", "x1", "Ünder", "İ", "ß", "ǅa", "٣", "²"]
+    for _ in range(5000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        assert list(t.text_codes(text)) == list(t._codes(decontaminate.tokens(text))), text
+
+
 def test_slots_have_to_agree():
     item = "Take 5 apples and 5 pears then add 5 plums to the bowl and eat 5 of them before noon on sunday"
     t = Templates([(1, item)])
