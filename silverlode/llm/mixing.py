@@ -102,7 +102,9 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id: str = "do
     """``df`` with ``_size``, ``_source_size``, ``_target``, ``_copies`` (how often the mix takes the document) and ``_taken``."""
     spark = df.sparkSession
     key = F.xxhash64(F.lit(seed), F.col(id), F.col(text))
-    sized = df.withColumns({"_size": word_count(F.col(text)), "_source": F.col(source), "_h": key, "_part": F.pmod(key, F.lit(parts)).cast("int")})
+    # the source as a text that is never null, null last: plain keys, so joins and windows share one exchange
+    tagged = F.concat(F.when(F.col(source).isNull(), "1").otherwise("0"), F.coalesce(F.col(source).cast("string"), F.lit("")))
+    sized = df.withColumns({"_size": word_count(F.col(text)), "_source": tagged, "_h": key, "_part": F.pmod(key, F.lit(parts)).cast("int")})
     cells = sized.groupBy("_source", "_size", "_part").agg(F.count(F.lit(1)).alias("n"))
     cells = materialize(cells, "mix-cells")
     lengths = cells.groupBy("_source", "_size").agg(F.sum("n").alias("n"))
@@ -111,35 +113,31 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id: str = "do
     rows = sums.limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows.sort(key=lambda r: (r[0] is None, str(r[0])))
+    rows.sort(key=lambda r: r[0])
     goal = targets([int(r[1]) for r in rows], weights, times)
     plan = []
     for r, t in zip(rows, goal):
         whole = int(t // r[1]) if r[1] else 0
         whole = min(whole, times)
         plan.append((r[0], int(r[1]), float(t), whole, int(round(t - whole * r[1])) if whole < times and r[1] else 0, times - whole))
-    table = spark.createDataFrame(plan, f"_src {df.schema[source].dataType.simpleString()}, _source_size long, _target double, _whole int, _budget long, _more int")
-    fitted = lengths.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")))
-    fitted = fitted.groupBy("_src").applyInPandas(_fit_source, lengths_schema(df, source))
+    table = spark.createDataFrame(plan, "_src string, _source_size long, _target double, _whole int, _budget long, _more int")
+    fitted = lengths.join(F.broadcast(table), F.col("_source") == F.col("_src"))
+    fitted = fitted.groupBy("_src").applyInPandas(_fit_source, "_src string, _len long, _each long, _take long")
     fitted = materialize(fitted, "mix-takes")
-    same = cells["_source"].eqNullSafe(fitted["_src"]) & (cells["_size"] == fitted["_len"])
+    same = (cells["_source"] == fitted["_src"]) & (cells["_size"] == fitted["_len"])
     before = Window.partitionBy("_source", "_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    some = cells.join(fitted, same).where("_take > 0 or _each > 0").withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    some = cells.join(fitted.hint("merge"), same).where("_take > 0 or _each > 0").withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     need = F.greatest(F.lit(0), F.least(F.col("n"), F.col("_take") - F.col("_before")))
     some = some.select(F.col("_source").alias("_cs"), F.col("_size").alias("_cl"), F.col("_part").alias("_cp"), need.alias("_need"), "_each").where("_need > 0 or _each > 0")
     some = materialize(some, "mix-cells-taken")
-    joined = sized.join(some, sized["_source"].eqNullSafe(some["_cs"]) & (sized["_size"] == some["_cl"]) & (sized["_part"] == some["_cp"]), "left")
+    joined = sized.join(some.hint("merge"), (sized["_source"] == some["_cs"]) & (sized["_size"] == some["_cl"]) & (sized["_part"] == some["_cp"]), "left")
     rank = F.row_number().over(Window.partitionBy("_source", "_size", "_part").orderBy("_h", id))
     extra = F.coalesce(F.col("_each"), F.lit(0)) + F.when(F.col("_need").isNotNull() & (rank <= F.col("_need")), 1).otherwise(0)
-    out = joined.withColumn("_extra", extra).join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")), "left")
+    out = joined.withColumn("_extra", extra).join(F.broadcast(table), F.col("_source") == F.col("_src"), "left")
     copies = (F.coalesce("_whole", F.lit(0)) + F.col("_extra")).cast("int")
     return out.select(*df.columns, "_size", "_source_size", "_target", copies.alias("_copies"), (copies * F.col("_size")).cast("long").alias("_taken"))
 
 
-def lengths_schema(df: DataFrame, source: str) -> str:
-    return f"_src {df.schema[source].dataType.simpleString()}, _len long, _each long, _take long"
-
-
 def _fit_source(frame):
     """The histogram of one source: as many rows as it has different lengths."""
     import pandas as pd
