@@ -80,7 +80,7 @@ def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url
     mean = pages.agg(F.avg(F.octet_length(html))).first()[0] or 0
     # files hold about file_bytes: a reader takes one whole
     per_file = max(3, int(3 * file_bytes / (mean + 1000)) // 3 * 3)
-    records.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", per_file).text(path)
+    records.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
 
 
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
