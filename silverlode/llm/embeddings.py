@@ -113,7 +113,9 @@ def _valid(vector: str):
 def embedding_components(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
     """One row per row of ``df``: ``(id, n_links, component_id)``."""
     key = F.when(_valid(vector) & F.col(label).isNotNull(), F.md5(F.concat_ws(",", F.col(label).cast("string"), F.col(vector).cast("array<string>"))))
-    rows = df.select(F.col(id).alias("id"), key.alias("node"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("v"))
+    # floats travel as floats; they turn into doubles, exactly, where they are compared
+    kept = F.col(vector) if df.schema[vector].dataType.simpleString() == "array<float>" else F.col(vector).cast("array<double>")
+    rows = df.select(F.col(id).alias("id"), key.alias("node"), F.col(label).cast("string").alias("label"), kept.alias("v"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.any_value("label").alias("label"), F.any_value("v").alias("v"))
     nodes = materialize(nodes, "embedding-nodes")
     found = materialize(_links(nodes, threshold, leaf, block), "embedding-links")
