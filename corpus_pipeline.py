@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm import decontaminate, mixing, sharding, simhash, toxicity
-from silverlode.llm.store import materialize
+from silverlode.llm.store import fresh, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected grade is clean."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("not toxicity.toxic").select(*docs.columns)
+    found = fresh(docs, "_toxicity")
+    return toxicity.score(docs, model, out=found).where(~F.col(found)["toxic"]).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,15 +23,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="_leaks")
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    out = fresh(docs, "_leaks")
+    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=out)
+    return found.where(F.size(out) == 0).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     mixed = mixing.mix(docs).where("_copies > 0")
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return mixed.select(*docs.columns, copies.alias("_copy")).drop("_copy")
+    copy = fresh(docs, "_copy")
+    out = mixed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias(copy))
+    return out.drop(copy)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .store import materialize
 
+OUTPUTS = ("_size", "_source_size", "_target", "_copies", "_taken")
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_TIMES = 3
 SEED = 6
@@ -99,12 +100,16 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, residue: in
 
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, times: int = MAX_TIMES, seed: int = SEED, parts: int = PARTS) -> DataFrame:
-    """``df`` with ``_size``, ``_source_size``, ``_target``, ``_copies`` (how often the mix takes the document) and ``_taken``."""
+    """``df`` with ``_size``, ``_source_size``, ``_target``, ``_copies`` (how often the mix takes the document) and ``_taken``.
+
+    Columns of ``df`` with those names are replaced; all others stay, whatever their names.
+    """
     spark = df.sparkSession
     key = F.xxhash64(F.lit(seed), F.col(id), F.col(text))
     # the source as a text that is never null, null last: plain keys, so joins and windows share one exchange
     tagged = F.concat(F.when(F.col(source).isNull(), "1").otherwise("0"), F.coalesce(F.col(source).cast("string"), F.lit("")))
-    sized = df.withColumns({"_size": word_count(F.col(text)), "_source": tagged, "_h": key, "_part": F.pmod(key, F.lit(parts)).cast("int")})
+    row, keys = F.struct(*df.columns).alias("_row"), [F.col(id).alias("_id"), key.alias("_h"), F.pmod(key, F.lit(parts)).cast("int").alias("_part")]
+    sized = df.select(row, word_count(F.col(text)).alias("_size"), tagged.alias("_source"), *keys)
     cells = sized.groupBy("_source", "_size", "_part").agg(F.count(F.lit(1)).alias("n"))
     cells = materialize(cells, "mix-cells")
     lengths = cells.groupBy("_source", "_size").agg(F.sum("n").alias("n"))
@@ -131,11 +136,12 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id: str = "do
     some = some.select(F.col("_source").alias("_cs"), F.col("_size").alias("_cl"), F.col("_part").alias("_cp"), need.alias("_need"), "_each").where("_need > 0 or _each > 0")
     some = materialize(some, "mix-cells-taken")
     joined = sized.join(some.hint("merge"), (sized["_source"] == some["_cs"]) & (sized["_size"] == some["_cl"]) & (sized["_part"] == some["_cp"]), "left")
-    rank = F.row_number().over(Window.partitionBy("_source", "_size", "_part").orderBy("_h", id))
+    rank = F.row_number().over(Window.partitionBy("_source", "_size", "_part").orderBy("_h", "_id"))
     extra = F.coalesce(F.col("_each"), F.lit(0)) + F.when(F.col("_need").isNotNull() & (rank <= F.col("_need")), 1).otherwise(0)
     out = joined.withColumn("_extra", extra).join(F.broadcast(table), F.col("_source") == F.col("_src"), "left")
     copies = (F.coalesce("_whole", F.lit(0)) + F.col("_extra")).cast("int")
-    return out.select(*df.columns, "_size", "_source_size", "_target", copies.alias("_copies"), (copies * F.col("_size")).cast("long").alias("_taken"))
+    stay = [F.col("_row")[c].alias(c) for c in df.columns if c not in OUTPUTS]
+    return out.select(*stay, "_size", "_source_size", "_target", copies.alias("_copies"), (copies * F.col("_size")).cast("long").alias("_taken"))
 
 
 def _fit_source(frame):

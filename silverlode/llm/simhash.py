@@ -296,7 +296,8 @@ def drop_near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text")
     keep = found.where(F.col("id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keeper_hash")))
     zero = F.lit(0).cast(df.schema[id].dataType)
     keep = keep.select(F.col("id").isNull().alias("_n"), F.coalesce("id", zero).alias("_i"), F.col("text_hash").alias("_th")).distinct()
-    marked = df.withColumns({"_n": F.col(id).isNull(), "_i": F.coalesce(F.col(id), zero), "_th": F.xxhash64(F.col(text))})
+    # the row travels as one struct, so no name of its columns can clash
+    marked = df.select(F.struct(*df.columns).alias("row"), F.col(id).isNull().alias("_n"), F.coalesce(F.col(id), zero).alias("_i"), F.xxhash64(F.col(text)).alias("_th"))
     kept = marked.join(keep, ["_n", "_i", "_th"], "left_semi")
     order = Window.partitionBy("_n", "_i", "_th").orderBy("_th")
-    return kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*df.columns)
+    return kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*(F.col("row")[c].alias(c) for c in df.columns))

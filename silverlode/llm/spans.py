@@ -17,7 +17,8 @@ def sampled(docs: DataFrame, id: str, text: str, size: int = SAMPLE) -> DataFram
     """Texts of at most ``size`` documents; their ids, bounded by it, are broadcast."""
     ids = docs.select(F.col(id).alias("_sid")).where("_sid is not null").orderBy(F.xxhash64(F.lit(3), "_sid"), "_sid").limit(size)
     ids = materialize(ids.distinct(), "span-sample")
-    return docs.join(F.broadcast(ids), F.col(id) == F.col("_sid"), "left_semi").select(F.col(id).alias("id"), F.col(text).alias("text")).where("text is not null")
+    slim = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("text is not null")
+    return slim.join(F.broadcast(ids), F.col("id") == F.col("_sid"), "left_semi")
 
 
 def joined(spans: list[Span], kinds: tuple[str, ...]) -> str:

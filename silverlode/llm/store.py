@@ -47,3 +47,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

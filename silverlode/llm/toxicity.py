@@ -180,6 +180,6 @@ def score_udf(model: OrdinalModel):
     return score
 
 
-def score(df: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
-    """``df`` with ``severity``, ``grade`` and ``toxic`` in a struct column ``toxicity``; no shuffle."""
-    return df.withColumn("toxicity", score_udf(model)(F.col(text)))
+def score(df: DataFrame, model: OrdinalModel, text: str = "text", out: str = "toxicity") -> DataFrame:
+    """``df`` with ``severity``, ``grade`` and ``toxic`` in a struct column ``out``; no shuffle."""
+    return df.withColumn(out, score_udf(model)(F.col(text)))

@@ -81,9 +81,9 @@ def test_url_training_is_logistic_regression(spark):
 
 
 def test_shards(spark, odd_docs):
-    out = sharding.shuffle_shards(odd_docs.drop("_size"), shards=5, bucket_bytes=20_000)
+    out = sharding.shuffle_shards(odd_docs, shards=5, bucket_bytes=20_000)
     rows = out.collect()
-    assert len(rows) == odd_docs.count() and set(out.columns) >= {"doc_id", "text", "source"}
+    assert len(rows) == odd_docs.count() and set(out.columns) >= {"doc_id", "text", "source"} and len(set(out.columns)) == len(out.columns)
     for s in range(5):
         assert sorted(r["_slot"] for r in rows if r["_shard"] == s) == list(range(sum(r["_shard"] == s for r in rows)))
     of = {}
@@ -93,12 +93,12 @@ def test_shards(spark, odd_docs):
         assert r["_size"] == len((r["text"] or "").encode()) + 1
         assert r["_crc"] == (None if r["text"] is None else zlib.crc32(r["text"].encode()))
     assert {r["_shard"] for r in rows} == set(range(5)) and 5 in {r["_grown"] for r in rows}
-    again = sharding.shuffle_shards(odd_docs.drop("_size").repartition(7), shards=5, bucket_bytes=20_000).collect()
+    again = sharding.shuffle_shards(odd_docs.repartition(7), shards=5, bucket_bytes=20_000).collect()
     key = lambda r: (r["_shard"], r["_slot"])
     assert [(r["doc_id"], r["text"]) for r in sorted(again, key=key)] == [(r["doc_id"], r["text"]) for r in sorted(rows, key=key)]
-    six = {r["doc_id"]: r["_shard"] for r in sharding.shuffle_shards(odd_docs.drop("_size"), shards=6).collect()}
+    six = {r["doc_id"]: r["_shard"] for r in sharding.shuffle_shards(odd_docs, shards=6).collect()}
     assert all(six[r["doc_id"]] == r["_grown"] for r in rows)
-    assert sharding.shuffle_shards(odd_docs.drop("_size").limit(0)).count() == 0
+    assert sharding.shuffle_shards(odd_docs.limit(0)).count() == 0
 
 
 def test_shards_are_shuffled(spark):
@@ -108,7 +108,7 @@ def test_shards_are_shuffled(spark):
 
 
 def test_shard_files(spark, odd_docs, tmp_path):
-    back = sharding.write_shards(odd_docs.drop("_size"), str(tmp_path / "s"), shards=3)
+    back = sharding.write_shards(odd_docs, str(tmp_path / "s"), shards=3)
     assert back.count() == odd_docs.count() and {r[0] for r in back.select("_shard").distinct().collect()} == {0, 1, 2}
 
 
@@ -158,10 +158,10 @@ def test_fit_hits_large_budgets():
 
 
 def test_mix(spark, odd_docs):
-    df = odd_docs.drop("_size")
+    df = odd_docs.withColumns({"_h": F.lit("mine"), "_row": F.lit(1)})
     out = mixing.mix(df, parts=4)
     rows = out.collect()
-    assert len(rows) == df.count() and set(df.columns) < set(out.columns)
+    assert len(rows) == df.count() and set(df.columns) < set(out.columns) and {r["_h"] for r in rows} == {"mine"}
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     assert all(r["_size"] == size(r["text"]) and r["_taken"] == r["_copies"] * r["_size"] and 0 <= r["_copies"] <= 3 for r in rows)
     for s in {r["source"] for r in rows}:
