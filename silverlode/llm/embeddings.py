@@ -5,6 +5,12 @@ fitted on a bounded sample, every vector is sent to its leaves, each leaf is com
 double precision, and what is linked is united. A pair that shares several leaves counts in the
 first of them alone, so numbers of links come from sums and no pair is ever written.
 
+A group of near copies larger than a leaf would be cut by every tree, so balls that hold half a leaf or
+more of the sample become cells before the trees are grown: the core of a cell is the rows within one
+threshold angle of its centre, and by the triangle inequality all they can link with is within two.
+Each core is compared whole with itself and with those rows, exactly; only pairs of rows outside all
+cores are left to the forest.
+
 Cases, by definition: a vector that is null, empty, zero or holds null, NaN or infinite components, or
 whose label is null, links with nothing and is its own component; equal vectors of one label are
 linked, counted by their number and compared once; repeated ids are rows like others; null ids take
@@ -28,6 +34,8 @@ SAMPLE, SAMPLE_VALUES = 20_000, 4_000_000
 LEAST_NODE = 16
 #: A leaf of more rows is compared as pairs of blocks of this many.
 BLOCK = 4096
+#: Rows that are multiplied at once.
+STRIP = 512
 
 
 class Forest:
@@ -73,35 +81,94 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def compare_leaf(x: np.ndarray, weight: np.ndarray, leaves: list, leaf: int, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+class Cells:
+    """Dense balls of a sample: no ball about an uncovered row of it holds ``least`` or more uncovered rows."""
+
+    def __init__(self, sample: np.ndarray, least: float, threshold: float):
+        angle = np.arccos(np.clip(threshold, -1.0, 1.0))
+        self.core, self.reach = threshold, np.cos(min(np.pi, 2 * angle)) - 1e-9
+        x = sample.astype(np.float32)
+        counts = lambda rows, of: np.concatenate([(x[rows[s : s + STRIP]] @ of.T >= threshold).sum(axis=1) for s in range(0, len(rows), STRIP)] or [np.zeros(0, int)])
+        free = np.ones(len(x), bool)
+        degree = counts(np.arange(len(x)), x)
+        centers = []
+        while len(x) and degree[top := int(degree.argmax())] >= least:
+            center, ball = sample[top], free & (x @ x[top] >= threshold)
+            mean = sample[ball].sum(axis=0)
+            mean /= max(np.sqrt(mean @ mean), 1e-300)
+            if (wide := free & (sample @ mean >= threshold)).sum() >= ball.sum() and wide[top]:
+                center, ball = mean, wide
+            ball[top] = True
+            centers.append(center)
+            free &= ~ball
+            degree[ball] = 0
+            rest = np.flatnonzero(free & (degree >= least))
+            degree[rest] -= counts(rest, x[ball])
+        self.centers = np.array(centers).reshape(len(centers), sample.shape[1])
+        self.free = free
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """The cell whose core holds each row, or -1; and the cells before it that the row has to be shown to."""
+        if not len(self.centers):
+            return np.full(len(x), -1), [[] for _ in range(len(x))]
+        at = x @ self.centers.T
+        home = np.where(at.max(axis=1) >= self.core, at.argmax(axis=1), -1)
+        # a pair of two cores is met in the earlier cell alone
+        shown = (at >= self.reach) & (np.arange(at.shape[1]) < np.where(home < 0, at.shape[1], home)[:, None])
+        return home, [np.flatnonzero(r).tolist() for r in shown]
+
+
+def compare_leaf(x: np.ndarray, weight: np.ndarray, leaves: list, leaf: int, side: np.ndarray, core: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Number of links of each row that this leaf is the first to hold, and the position of each one's root.
 
     ``side`` is 0 where all rows are compared with one another; of rows of sides 1 and 2 only pairs across count.
+    Only pairs with a row of ``core`` count.
     """
-    n = len(x)
-    near = x @ x.T >= threshold
-    np.fill_diagonal(near, False)
-    if side.any():
-        near &= side[:, None] != side[None, :]
+    n, across = len(x), bool(side.any())
+    one, two = (np.flatnonzero(side == 1), np.flatnonzero(side == 2)) if across else (np.arange(n), np.arange(n))
+    a, b = x[one], x[two]
+    near = np.zeros((len(one), len(two)), bool)
+    for s in range(0, len(one), STRIP):
+        low = 0 if across else s
+        near[s : s + STRIP, low:] = a[s : s + STRIP] @ b[low:].T >= threshold
+    if not across:
+        near = np.triu(near, 1)
+        near |= near.T
+    if not core.all():
+        near &= core[one][:, None] | core[two][None, :]
     owner = np.repeat(np.arange(n), [len(v) for v in leaves])
     flat = np.concatenate([np.asarray(v, np.int64) for v in leaves])
-    early = flat < leaf
+    early = (flat >= 0) & (flat < leaf)
     fresh = near
     if early.any():
         names, place = np.unique(flat[early], return_inverse=True)
         member = np.zeros((n, len(names)), np.float32)
         member[owner[early], place] = 1
-        fresh = near & (member @ member.T == 0)
-    links = fresh @ weight
+        fresh = near & (member[one] @ member[two].T == 0)
+    links = np.zeros(n, np.int64)
+    links[one] = fresh @ weight[two]
+    if across:
+        links[two] = fresh.T @ weight[one]
     root = np.arange(n)
-    linked = np.flatnonzero(near.any(axis=1))
-    while len(linked):
-        least = np.minimum(root, np.where(near, root[None, :], n).min(axis=1))
+    while True:
+        least = root.copy()
+        least[one] = np.minimum(root[one], _least(near, root[two]))
+        if across:
+            least[two] = np.minimum(root[two], _least(near.T, root[one]))
         least = least[least]
         if (least == root).all():
-            break
+            return links, root
         root = least
-    return links, root
+
+
+def _least(near: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The least of the values that each row is near to."""
+    out, none = np.full(len(near), np.iinfo(np.int32).max, np.int64), np.int32(np.iinfo(np.int32).max)
+    if near.shape[1]:
+        values = values.astype(np.int32)
+        for s in range(0, len(near), STRIP):
+            out[s : s + STRIP] = np.where(near[s : s + STRIP], values[None, :], none).min(axis=1)
+    return out
 
 
 def _valid(vector: str):
@@ -142,21 +209,33 @@ def _links(nodes: DataFrame, threshold: float, leaf: int, block: int) -> DataFra
         size = max(1, min(SAMPLE, SAMPLE_VALUES // r["d"]))
         sample = nodes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("node"), "node").select("v").limit(size).collect()
         x = unit(np.array([s["v"] for s in sample], np.float64))
-        forests[r["d"]] = (base, Forest(x, leaf * len(x) / r["n"]))
-        base += forests[r["d"]][1].leaves
+        stop = max(leaf * len(x) / r["n"], LEAST_NODE)
+        # where one leaf holds all, nothing is cut
+        cells = Cells(x if len(x) > stop else x[:0], stop / 2, threshold)
+        forest = Forest(x[cells.free] if len(cells.centers) else x, stop)
+        forests[r["d"]] = (base, cells, forest)
+        base += len(cells.centers) + forest.leaves
     shared = spark.sparkContext.broadcast((forests, base))
     placed = nodes.select("node", "n", "label", "v", _place_udf(shared)("v").alias("leaves"))
-    dealt = placed.select("node", "n", "label", "v", "leaves", F.explode("leaves").alias("leaf"))
+    dealt = placed.select("node", "n", "label", "v", "leaves", F.explode("leaves").alias("at"))
+    # a cell that a row is only shown to stands as the complement of its number
+    core = F.col("at") >= 0
+    dealt = dealt.select("node", "n", "label", "v", "leaves", F.when(core, F.col("at")).otherwise(F.bitwise_not("at")).alias("leaf"), core.alias("core"))
     keys = ["leaf", "label", "part"]
-    large = materialize(dealt.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > block), "embedding-large")
+    large = dealt.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("rows"), F.count_if("core").alias("cores"))
+    large = materialize(large.where((F.col("rows") > block) | (F.col("cores") == 0)), "embedding-large")
     if large.isEmpty():
         dealt = dealt.withColumns({"part": F.lit(0).cast("long"), "side": F.lit(0)})
     else:
-        wide = dealt.join(large, ["leaf", "label"], "left").withColumn("c", F.coalesce(F.ceil(F.col("rows") / block), F.lit(1)).cast("int"))
-        wide = wide.withColumn("i", F.pmod(F.xxhash64("node"), F.col("c")).cast("int"))
-        wide = wide.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
-        part = F.least("i", "j").cast("long") * F.col("c") + F.greatest("i", "j")
-        dealt = wide.select("node", "n", "label", "v", "leaves", "leaf", part.alias("part"), F.when(F.col("i") == F.col("j"), 0).when(F.col("i") < F.col("j"), 1).otherwise(2).alias("side"))
+        # core rows fill the first c parts, shown rows the next; each pair of parts with a core meets once
+        wide = dealt.join(large, ["leaf", "label"], "left").where("cores is null or cores > 0")
+        wide = wide.withColumns({"c": F.coalesce(F.ceil(F.col("cores") / block), F.lit(1)).cast("int"), "s": F.coalesce(F.ceil((F.col("rows") - F.col("cores")) / block), F.lit(0)).cast("int")})
+        hash, split = F.xxhash64("node"), F.col("rows").isNotNull()
+        wide = wide.withColumn("i", F.when(F.col("core") | ~split, F.pmod(hash, F.col("c"))).otherwise(F.col("c") + F.pmod(hash, F.greatest("s", F.lit(1)))).cast("int"))
+        last = F.when(F.col("core"), F.col("c") + F.col("s")).otherwise(F.col("c")) - 1
+        wide = wide.withColumn("j", F.explode(F.sequence(F.lit(0), last)))
+        part = F.least("i", "j").cast("long") * (F.col("c") + F.col("s")) + F.greatest("i", "j")
+        dealt = wide.select("node", "n", "label", "v", "leaves", "leaf", "core", part.alias("part"), F.when(F.col("i") == F.col("j"), 0).when(F.col("i") < F.col("j"), 1).otherwise(2).alias("side"))
     return dealt.groupBy(*keys).applyInPandas(_compare_udf(threshold), "node string, links long, root string")
 
 
@@ -174,9 +253,14 @@ def _place_udf(shared):
                 for i in at:
                     out[i] = [extra + int(d)]
                 continue
-            base, forest = forests[d]
-            for i, leaves in zip(at, forest.place(unit(np.stack([vectors.iloc[i] for i in at]).astype(np.float64)))):
-                out[i] = [base + v for v in leaves]
+            base, cells, forest = forests[d]
+            x = unit(np.stack([vectors.iloc[i] for i in at]).astype(np.float64))
+            home, shown = cells.place(x)
+            for i, h, cut in zip(at, home, shown):
+                out[i] = [~(base + v) for v in cut] + ([base + int(h)] if h >= 0 else [])
+            rest = np.flatnonzero(home < 0)
+            for i, leaves in zip(at[rest], forest.place(x[rest])):
+                out[i] += [base + len(cells.centers) + v for v in leaves]
         return pd.Series(out)
 
     return place
@@ -189,7 +273,7 @@ def _compare_udf(threshold: float):
         leaf = int(frame["leaf"].iloc[0])
         links, roots = np.zeros(len(frame), np.int64), frame["node"].to_numpy().copy()
         x = unit(np.stack(frame["v"].to_numpy()).astype(np.float64))
-        n, root = compare_leaf(x, frame["n"].to_numpy(np.int64), list(frame["leaves"]), leaf, frame["side"].to_numpy(), threshold)
+        n, root = compare_leaf(x, frame["n"].to_numpy(np.int64), list(frame["leaves"]), leaf, frame["side"].to_numpy(), frame["core"].to_numpy(bool), threshold)
         links += n
         return pd.DataFrame({"node": frame["node"], "links": links, "root": roots[root]})
 

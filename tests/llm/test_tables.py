@@ -266,6 +266,25 @@ def test_forest_recall_with_many_leaves():
     assert len(near) > 1000 and sum(bool(set(leaves[i]) & set(leaves[j])) for i, j in near) >= 0.95 * len(near)
 
 
+def test_embedding_links_in_a_dense_group(spark):
+    """A third of the rows are near copies of one another, several leaves of them, in tiles; one more group lies at the edge of it."""
+    rng = np.random.default_rng(21)
+    center = embeddings.unit(rng.standard_normal((1, 64)))
+    around = lambda c, n, cos: embeddings.unit(c + rng.standard_normal((n, 64)) / 8 * np.sqrt(1 / cos - 1))
+    side = embeddings.unit(center + rng.standard_normal((1, 64)) / 8 * 0.35)
+    x = np.concatenate([around(center, 3000, 0.96), around(side, 1000, 0.95), embeddings.unit(rng.standard_normal((5000, 64)))])
+    label = rng.integers(0, 8, len(x)) // 7
+    df = spark.createDataFrame([(i, [float(c) for c in v], int(k)) for i, (v, k) in enumerate(zip(x, label))], "vec_id bigint, embedding array<double>, label int")
+    want = ((x @ x.T >= 0.93) & (label[:, None] == label[None, :])).sum(axis=1) - 1
+    got = {r["id"]: r["n_links"] for r in embeddings.embedding_components(df, leaf=256, block=700).collect()}
+    assert all(got[i] <= want[i] for i in range(len(x)))
+    assert sum(got.values()) >= 0.998 * want.sum() and want[:3000].mean() > 1500
+    cells = embeddings.Cells(x, 128, 0.93)
+    home, shown = cells.place(x)
+    inside = [i for i in range(len(x)) if home[i] >= 0]
+    assert len(inside) >= 3000 and all(got[i] == want[i] for i in inside)
+
+
 # ---- warc
 
 
