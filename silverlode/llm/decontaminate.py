@@ -3,6 +3,8 @@
 Numbers, names and units become typed placeholders, windows of five template tokens are looked up
 by hash, and a match counts only if the values behind the placeholders map one to one between item
 and document, so a question asked again with other values is caught, and a chance mixture is not.
+A capitalised token may be a name or a word, in items and in documents alike, so windows that hold one
+are looked up under both codings; what other items hold decides nothing.
 
 The benchmark is taken in blocks of a bounded number of items, each broadcast as arrays; a larger
 benchmark means more blocks over the same rows, never a larger broadcast.
@@ -13,6 +15,7 @@ items of equal text are all reported; whole texts are read; extra columns are le
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,29 +38,25 @@ UNITS = frozenset(
     "second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents euro euros "
     "kb mb gb tb volt volts watt watts degree degrees".split()
 )
-_TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+|\d+(?:[.,]\d+)*|[%$€£°]")
-_MARK, _CAPITAL, _HEAD = -1, -2, 22
+_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£°]")
+_HEAD = 22
+#: Set in the code of a known word that is capitalised and may be a name instead.
+_EITHER = 1 << 40
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def tokens(text: str | None) -> list[tuple[str, str]]:
-    """(form, kind) of each token; kind is ``number``, ``unit``, ``name`` (a capital inside a sentence) or ``word``."""
-    out, start = [], True
+    """(form, kind) of each token; kind is ``number``, ``unit``, ``name`` (capitalised, so perhaps a name) or ``word``."""
+    out = []
     for t in _TOKEN.findall(text or ""):
-        if t[0] in ".!?\n":
-            start = True
-            continue
         low = t.lower()
         if t[0].isdigit():
             kind = "number"
         elif low in UNITS:
             kind = "unit"
-        elif not start and len(t) > 1 and t[0].isupper() and not t.isupper():
-            kind = "name"
         else:
-            kind = "word"
+            kind = "name" if len(t) > 1 and t[0].isupper() else "word"
         out.append((low, kind))
-        start = False
     return out
 
 
@@ -71,19 +70,20 @@ class Templates:
         self.vocabulary = {NUMBER: 1, NAME: 2, UNIT: 3}
         for item in split:
             for form, kind in item:
-                if kind == "word":
+                if kind in ("word", "name"):
                     self.vocabulary.setdefault(form, len(self.vocabulary) + 1)
         self.known = _Known(self.vocabulary)
         hashes, owners, places = [], [], []
         self.slots, self.needed, self.lengths = [], [], []
         for k, item in enumerate(split):
-            code = self._codes(item)
-            ok, h = self._windows(code)
-            at = np.flatnonzero(ok)
+            at, h, sure = self._windows(self._codes(item))
             self.slots.append([form if kind != "word" else None for form, kind in item])
             self.lengths.append(len(item))
-            self.needed.append(min(ENOUGH, int(np.ceil(SHARE * len(at)))) if len(at) else 0)
-            hashes.append(h[at])
+            # what a copy with other names can hold
+            self.needed.append(min(ENOUGH, int(np.ceil(SHARE * sure))) if sure else 0)
+            if not sure:
+                continue
+            hashes.append(h)
             owners.append(np.full(len(at), k))
             places.append(at)
         self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
@@ -97,44 +97,60 @@ class Templates:
 
     def _codes(self, item: list[tuple[str, str]]) -> np.ndarray:
         get = self.vocabulary.get
-        typed = {"number": 1, "name": 2, "unit": 3}
-        # a capitalised word that the items use as a plain word is that word
-        return np.array([get(form, typed.get(kind, 0)) if kind in ("word", "name") else typed[kind] for form, kind in item], np.uint64)
-
-    def _windows(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which windows are whole, with at least three words beside the placeholders, and the hash of each."""
+        name = lambda form: get(form, 0) | _EITHER if form in self.vocabulary else 2
+        typed = {"number": lambda _: 1, "unit": lambda _: 3, "name": name, "word": lambda form: get(form, 0)}
+        return np.array([typed[kind](form) for form, kind in item], np.uint64)
+
+    def _windows(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Place and hash of each whole window with at least three words beside the placeholders, under each coding
+        of its capitals; and the number of windows that have three words when every capital is a name."""
+        least = min(3, self.window)
         n = len(code) - self.window + 1
         if n < 1:
-            return np.zeros(0, bool), np.zeros(0, np.uint64)
-        h, ok, words = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, np.int8)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), 0
+        either = code >= _EITHER
+        code = np.where(either, code - np.uint64(_EITHER), code)
+        h, ok, words, plain = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, np.int8), np.zeros(n, np.int8)
         used, word = code > 0, (code > 3).view(np.int8)
+        lower = word * ~either
         for j in range(self.window):
             h *= np.uint64(_BASE)
             h += code[j : j + n]
             ok &= used[j : j + n]
             words += word[j : j + n]
-        return ok & (words >= min(3, self.window)), (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            plain += lower[j : j + n]
+        sure = int((ok & (plain >= least)).sum())
+        at = np.flatnonzero(ok & (words >= least))
+        h, words = h[at], words[at]
+        if either.any():
+            change = (np.uint64(2) - code) * either
+            for j in range(self.window):
+                other = np.flatnonzero(either[at + j] & (words > least))
+                if len(other):
+                    move = change[at[other] + j] * np.uint64(pow(_BASE, self.window - 1 - j, 1 << 64))
+                    at, h, words = np.concatenate([at, at[other]]), np.concatenate([h, h[other] + move]), np.concatenate([words, words[other] - 1])
+        return at, (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), sure
 
     def matches(self, text: str | None) -> list[tuple[int, int]]:
         """(item, number of its windows found together) for each item that the text holds."""
         if not text or not len(self.hashes):
             return []
-        ok, h = self._windows(self.text_codes(text))
-        ok &= self.heads[h >> np.uint64(64 - _HEAD)]
-        at = np.flatnonzero(ok)
+        at, h, _ = self._windows(self.text_codes(text))
+        likely = self.heads[h >> np.uint64(64 - _HEAD)]
+        at, h = at[likely], h[likely]
         if not len(at):
             return []
-        lo = np.searchsorted(self.hashes, h[at], "left")
-        hi = np.searchsorted(self.hashes, h[at], "right")
-        found: dict[int, list[tuple[int, int]]] = {}
+        lo = np.searchsorted(self.hashes, h, "left")
+        hi = np.searchsorted(self.hashes, h, "right")
+        found: dict[int, set[tuple[int, int]]] = {}
         for p, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
             for k in range(a, b):
-                found.setdefault(int(self.owners[k]), []).append((int(p), int(self.places[k])))
+                found.setdefault(int(self.owners[k]), set()).add((int(p), int(self.places[k])))
         if not found:
             return []
         doc, out = tokens(text), []
         for item, hits in found.items():
-            if len(hits) >= self.needed[item] and (n := self._together(item, hits, doc)):
+            if len(hits) >= self.needed[item] and (n := self._together(item, sorted(hits), doc)):
                 out.append((item, n))
         return out
 
@@ -143,26 +159,21 @@ class Templates:
         forms = _TOKEN.findall(text)
         if len(self.known) > 1_000_000:
             self.known.clear()
-        code = np.fromiter(map(self.known.__getitem__, forms), np.int64, len(forms))
-        mark = code == _MARK
-        start = np.ones(len(code), bool)
-        start[1:] = mark[:-1]
-        code[(code == _CAPITAL) & start] = 0
-        code[code == _CAPITAL] = 2
-        return code[~mark].astype(np.uint64)
+        return np.fromiter(map(self.known.__getitem__, forms), np.int64, len(forms)).astype(np.uint64)
 
     def _together(self, item: int, hits: list[tuple[int, int]], doc: list[tuple[str, str]]) -> int:
         """The most distinct windows of the item found within twice its length, values mapping one to one; 0 if too few."""
         need, reach = self.needed[item], 2 * self.lengths[item]
         slots, best, first = self.slots[item], 0, 0
-        hits.sort()
         for last in range(len(hits)):
             while hits[last][0] - hits[first][0] > reach:
                 first += 1
             if last - first + 1 < need or (last + 1 < len(hits) and hits[last + 1][0] - hits[first][0] <= reach):
                 continue
             there, back, places = {}, {}, set()
-            for p, q in hits[first : last + 1]:
+            # a copy keeps its windows in step, so the commonest shifts fix the values first
+            shifts = Counter(p - q for p, q in hits[first : last + 1])
+            for p, q in sorted(hits[first : last + 1], key=lambda x: (-shifts[x[0] - x[1]], x)):
                 pairs = [(slots[q + j], doc[p + j][0]) for j in range(self.window) if slots[q + j] is not None]
                 if all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs):
                     there.update(pairs)
@@ -173,21 +184,21 @@ class Templates:
 
 
 class _Known(dict):
-    """The code of each form as written; a capitalised one that items do not use is a name, but not at a start."""
+    """The code of each form as written; a capitalised one is a name, or either if items use it."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
 
     def __missing__(self, form: str) -> int:
         low = form.lower()
-        if form[0] in ".!?\n":
-            code = _MARK
-        elif form[0].isdigit():
+        if form[0].isdigit():
             code = 1
         elif low in UNITS:
             code = 3
         else:
-            code = self.vocabulary.get(low) or (_CAPITAL if len(form) > 1 and form[0].isupper() and not form.isupper() else 0)
+            code = self.vocabulary.get(low, 0)
+            if len(form) > 1 and form[0].isupper():
+                code = code | _EITHER if code else 2
         self[form] = code
         return code
 

@@ -85,6 +85,19 @@ def test_codes_of_texts_are_those_of_their_tokens():
         assert list(t.text_codes(text)) == list(t._codes(decontaminate.tokens(text))), text
 
 
+def test_names_are_judged_without_the_other_items():
+    item = "Tom gives 3 apples to Ann. Ann then gives 2 apples to Tom. How many apples has Tom left?"
+    other = item.replace("Tom", "Bob").replace("Ann", "Sue").replace("3", "8").replace("2", "5")
+    inside = "In the morning Tom walks 3 blocks with Ann towards the park and then they walk 2 more blocks home."
+    for items in ([(1, item)], [(1, item), (2, inside)], [(2, inside), (1, item)]):
+        t = Templates(items)
+        found = lambda text: [t.ids[i] for i, _ in t.matches(text)]
+        assert found(f"{FILLER}. {other} {FILLER}") == found(item) == found(item.lower()) == found(item.upper()) == found(item.title()) == [1]
+        assert found(other.replace("to Bob", "to Max").replace("has Bob", "has Joe")) == []
+    t = Templates([(2, inside), (1, item)])
+    assert [t.ids[i] for i, _ in t.matches(inside.replace("Tom", "Bob").replace("Ann", "Sue"))] == [2]
+
+
 def test_slots_have_to_agree():
     item = "Take 5 apples and 5 pears then add 5 plums to the bowl and eat 5 of them before noon on sunday"
     t = Templates([(1, item)])
