@@ -9,8 +9,11 @@ are looked up under both codings; what other items hold decides nothing.
 The benchmark is taken in blocks of a bounded number of items, each broadcast as arrays; a larger
 benchmark means more blocks over the same rows, never a larger broadcast.
 
-Cases, by definition: a null or empty document matches nothing; null or empty items, and items of
-fewer tokens than a window, are matched by nothing; repeated documents and items are each reported;
+An item with too few windows for that, because it is short or made of numbers, is matched by its whole
+sequence of tokens, values included. In scripts without spaces each character is a token.
+
+Cases, by definition: a null or empty document matches nothing; null or empty items, and items without
+a letter, digit or sign of measure, are matched by nothing; repeated documents and items are each reported;
 items of equal text are all reported; whole texts are read; extra columns are left alone.
 """
 
@@ -28,6 +31,8 @@ WINDOW = 5
 #: Windows of an item that have to be found near one another: this share of them, or this number where that is fewer.
 SHARE = 0.8
 ENOUGH = 8
+#: Windows that a template has to need; an item that needs fewer is matched whole.
+FEW = 4
 #: Items in a broadcast block.
 BLOCK = 20_000
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
@@ -38,7 +43,10 @@ UNITS = frozenset(
     "second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents euro euros "
     "kb mb gb tb volt volts watt watts degree degrees".split()
 )
-_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£°]")
+#: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+_DENSE = "\u0e00-\u0e3e\u0e40-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_TOKEN = re.compile(rf"[^\W\d_{_DENSE}]+|(?!\d)[{_DENSE}]|\d+(?:[.,]\d+)*|[%$€£°]")
+_DENSE_ONE = re.compile(f"[{_DENSE}]")
 _HEAD = 22
 #: Set in the code of a known word that is capitalised and may be a name instead.
 _EITHER = 1 << 40
@@ -75,13 +83,20 @@ class Templates:
         self.known = _Known(self.vocabulary)
         hashes, owners, places = [], [], []
         self.slots, self.needed, self.lengths = [], [], []
+        # items matched whole: by their first tokens, by length, by all tokens
+        self.whole: dict[tuple, dict[int, dict[tuple, list[int]]]] = {}
+        self.whole_forms: set[str] = set()
         for k, item in enumerate(split):
             at, h, sure = self._windows(self._codes(item))
             self.slots.append([form if kind != "word" else None for form, kind in item])
             self.lengths.append(len(item))
             # what a copy with other names can hold
-            self.needed.append(min(ENOUGH, int(np.ceil(SHARE * sure))) if sure else 0)
-            if not sure:
+            # a character says less than a word
+            dense = 2 * sum(bool(_DENSE_ONE.match(form)) for form, _ in item) > len(item)
+            self.needed.append(min(2 * ENOUGH if dense else ENOUGH, int(np.ceil(SHARE * sure))))
+            if self.needed[-1] < FEW:
+                if item:
+                    self._add_whole(k, [form for form, _ in item])
                 continue
             hashes.append(h)
             owners.append(np.full(len(at), k))
@@ -95,6 +110,23 @@ class Templates:
         self.owners = (np.concatenate(owners) if owners else np.empty(0, int))[order]
         self.places = (np.concatenate(places) if places else np.empty(0, int))[order]
 
+    def _add_whole(self, item: int, forms: list[str]) -> None:
+        self.whole_forms.add(forms[0])
+        lengths = self.whole.setdefault(tuple(forms[: self.window]), {})
+        lengths.setdefault(len(forms), {}).setdefault(tuple(forms), []).append(item)
+
+    def _whole_matches(self, text: str) -> list[tuple[int, int]]:
+        """(item, number of its windows, 1 at least) for each item matched whole that the text holds."""
+        forms = [t.lower() for t in _TOKEN.findall(text)]
+        found = {}
+        for p, form in enumerate(forms):
+            if form in self.whole_forms:
+                for k in range(1, self.window + 1):
+                    for length, items in self.whole.get(tuple(forms[p : p + k]), {}).items() if p + k <= len(forms) else ():
+                        for item in items.get(tuple(forms[p : p + length]), ()):
+                            found[item] = max(1, length - self.window + 1)
+        return list(found.items())
+
     def _codes(self, item: list[tuple[str, str]]) -> np.ndarray:
         get = self.vocabulary.get
         name = lambda form: get(form, 0) | _EITHER if form in self.vocabulary else 2
@@ -133,8 +165,12 @@ class Templates:
 
     def matches(self, text: str | None) -> list[tuple[int, int]]:
         """(item, number of its windows found together) for each item that the text holds."""
-        if not text or not len(self.hashes):
+        if not text:
             return []
+        whole = self._whole_matches(text) if self.whole else []
+        return whole + self._template_matches(text) if len(self.hashes) else whole
+
+    def _template_matches(self, text: str) -> list[tuple[int, int]]:
         at, h, _ = self._windows(self.text_codes(text))
         likely = self.heads[h >> np.uint64(64 - _HEAD)]
         at, h = at[likely], h[likely]

@@ -98,6 +98,17 @@ def test_names_are_judged_without_the_other_items():
     assert [t.ids[i] for i, _ in t.matches(inside.replace("Tom", "Bob").replace("Ann", "Sue"))] == [2]
 
 
+def test_items_of_few_windows_match_whole():
+    items = [(1, "12 + 7 * 3 - 4 = 29 mod 5"), (2, "He was born in 1990."), (3, "two plus two"), (4, "東京タワーの高さは333メートルです。完成したのは何年ですか"), (5, "日本の首都は"), (6, "+ = ?"), (7, "ประเทศไทย")]
+    t = Templates(items)
+    found = lambda text: sorted(t.ids[i] for i, _ in t.matches(text))
+    for i, text in items:
+        assert found(f"{FILLER}. {text} {FILLER}") == ([] if i == 6 else [i])
+    assert found("He was born in 1985. 12 + 7 * 3 - 4 = 29 mod 6. Two plus three.") == []
+    assert found("問題日本の首都は東京です") == [5] and found("そして東京タワーの高さは250メートルです。完成したのは何年ですかと聞く") == [4]
+    assert found("He was born in 1990") == [2] and found("two plus two") == [3] and found("two plus") == [] == found("日本の首")
+
+
 def test_slots_have_to_agree():
     item = "Take 5 apples and 5 pears then add 5 plums to the bowl and eat 5 of them before noon on sunday"
     t = Templates([(1, item)])
