@@ -6,7 +6,7 @@ likelihood in each automaton against that of an ordinary token, and added where
 
 Cases, by definition: a null or empty text has no spans; whole texts are read; a kind with too few
 examples has no automaton and adds nothing; repeated rows have the same spans; extra columns are left
-alone; offsets count code points; a token of any length is scored whole.
+alone; offsets count code points; a token of six characters or more, with digits or without, is scored whole.
 """
 
 import math
@@ -25,7 +25,9 @@ KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+#: Candidates: the alphabet and least length of an assigned credential.
+LEAST = 6
+_TOKEN = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Labelled credentials of a kind that an automaton is inferred from: at most and at least; ordinary tokens at most.
@@ -33,6 +35,10 @@ EXAMPLES, ENOUGH, ORDINARY = 300, 12, 4000
 ALPHA = 0.05
 #: Mean gain per character, in nats, of a format over an ordinary token.
 MARGIN = 0.8
+#: Gain of the whole token, so that a short one needs as much evidence as one of sixteen characters.
+WHOLE = 16 * MARGIN
+#: Judgements that a process remembers, of tokens of at most so many characters.
+REMEMBERED, SHORT = 200_000, 40
 END = ""
 
 
@@ -153,6 +159,7 @@ class Ordinary:
 class Formats:
     def __init__(self, automata: dict[int, Automaton], ordinary: Ordinary):
         self.automata, self.ordinary = automata, ordinary
+        self.known: dict[str, int | None] = {}
 
     def judge(self, token: str) -> int | None:
         """The kind whose format explains the token better than ordinary text does, or none."""
@@ -160,7 +167,17 @@ class Formats:
             return None
         base = self.ordinary.log_likelihood(token)
         gain, kind = max(((a.log_likelihood(token) - base) / len(token), -k) for k, a in self.automata.items())
-        return -kind if gain > MARGIN else None
+        return -kind if gain > max(MARGIN, WHOLE / len(token)) else None
+
+    def recall(self, token: str) -> int | None:
+        """``judge``, remembered for tokens that are common because they are short."""
+        if len(token) > SHORT:
+            return self.judge(token)
+        if token not in self.known:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[token] = self.judge(token)
+        return self.known[token]
 
 
 def added_spans(text: str | None, base: list[Span], formats: Formats) -> list[Span]:
@@ -169,10 +186,10 @@ def added_spans(text: str | None, base: list[Span], formats: Formats) -> list[Sp
     out = []
     for m in _TOKEN.finditer(text):
         token = m[0].strip("._=/+-")
-        if len(token) < 16 or not _DIGIT.search(token):
+        if len(token) < LEAST or (kind := formats.recall(token)) is None:
             continue
         start = m.start() + m[0].index(token)
-        if not overlaps(start, start + len(token), base) and (kind := formats.judge(token)) is not None:
+        if not overlaps(start, start + len(token), base):
             out.append((kind, start, start + len(token)))
     return out
 
@@ -188,7 +205,7 @@ def fit(known: list[tuple[int, str]], ordinary: list[str]) -> Formats:
 
 def _known_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kinds, values = [], []
+        kinds, values, words = [], [], set()
         for text in batch.column("text").to_pylist():
             base = _base(text)
             spans = [s for s, _ in base]
@@ -196,9 +213,15 @@ def _known_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 kinds.append(k)
                 values.append(value[:200])
             for m in re.finditer(r"[A-Za-z0-9+/_=.-]{4,200}", text):
-                if (len(m[0]) >= 12 or _DIGIT.search(m[0])) and not overlaps(m.start(), m.end(), spans):
+                if overlaps(m.start(), m.end(), spans):
+                    continue
+                if len(m[0]) >= 12 or _DIGIT.search(m[0]):
                     kinds.append(-1)
                     values.append(m[0])
+                else:
+                    words.add(m[0])
+        kinds += [-2] * len(words)
+        values += sorted(words)
         yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string())], names=["kind", "value"])
 
 
@@ -209,7 +232,9 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int =
     found = materialize(sampled(docs, id, text, sample).mapInArrow(_known_batches, "kind int, value string"), "secret-examples")
     take = lambda k, n: [r["value"] for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(n).collect()]
     known = [(k, v) for k in range(len(KINDS)) for v in take(k, examples)]
-    return fit(known, take(-1, ordinary))
+    # long tokens and those with digits, and plain words, each once
+    words = found.where("kind = -2").select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(ordinary).collect()
+    return fit(known, take(-1, ordinary) + [r["value"] for r in words])
 
 
 def span_udf(formats: Formats):

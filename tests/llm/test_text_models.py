@@ -258,6 +258,12 @@ def test_automata_merge_and_judge(formats):
     assert formats.judge("user.77.mail.example.com") is None
 
 
+@pytest.mark.parametrize("token, kind", [("AKIAZZQRSTUVWXYZAB", 1), ("9f3b07d1c8e6", 0), ("9f3b07d1", 0), ("considerations", None), ("therewithal", None), ("version-2.0", None), ("201904", None)])
+def test_short_and_digit_free_tokens_are_scored(formats, token, kind):
+    got = secrets.added_spans(f"see {token} here", [], formats)
+    assert [(a, b) for _, a, b in got] == ([] if kind is None else [(4, 4 + len(token))]) and (kind != 1 or got[0][0] == 1)
+
+
 def test_automaton_is_a_distribution():
     a = secrets.Automaton(["ab", "ab", "aab", "b"] * 20)
     assert a.log_likelihood("ab") > a.log_likelihood("bb") and a.log_likelihood("ab") > a.log_likelihood("zz")
