@@ -75,8 +75,10 @@ def earliest_first(columns: list[str] | tuple[str, ...]) -> list[Column]:
 
 
 def ingestion_order(file: Column, index: Column) -> Column:
-    """One text that orders rows by file and position."""
-    return F.concat(F.coalesce(file, F.lit("")), F.lit("#"), F.lpad(F.coalesce(index.cast("string"), F.lit("0")), 9, "0"))
+    """One text that orders rows by file and position: nine digits, or more behind a tilde for each digit more, which sorts after any digit."""
+    digits = F.coalesce(index.cast("string"), F.lit("0"))
+    beyond = F.greatest(F.length(digits) - 9, F.lit(0))
+    return F.concat(F.coalesce(file, F.lit("")), F.lit("#"), F.repeat(F.lit("~"), beyond), F.lpad(digits, F.greatest(F.length(digits), F.lit(9)), F.lit("0")))
 
 
 def lateness(ts: Column, as_of: Column, days: int) -> Column:

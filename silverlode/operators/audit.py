@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,14 +48,15 @@ def many_current(history: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def record_run(warehouse: Warehouse, run: Run, reconciliation: DataFrame, metrics: list[DataFrame]) -> None:
-    """Append the run's counts and rule metrics."""
+    """Add the run's counts and rule metrics, under its id: recording a run again replaces what it recorded."""
     stamp = [F.lit(run.run_id).alias("run_id"), F.lit(run.run_ts).alias("run_ts")]
     warehouse.ensure("ops", "pipeline_runs", PIPELINE_RUNS)
     warehouse.ensure("ops", "dq_results", DQ_RESULTS)
     more = [F.lit(run.environment).alias("environment"), F.lit(run.git_sha).alias("git_sha"), F.lit(run.deployed_by).alias("deployed_by")]
-    warehouse.append("ops", "pipeline_runs", reconciliation.select(*stamp, *more, "source", "bronze_rows", "valid_rows", "quarantine_rows", "conserved"))
-    for m in metrics:
-        warehouse.append("ops", "dq_results", m.select(*stamp, "source", "rule", "column", "severity", "evaluated", "violations"))
+    warehouse.append("ops", "pipeline_runs", reconciliation.select(*stamp, *more, "source", "bronze_rows", "valid_rows", "quarantine_rows", "conserved"), run.run_id)
+    if metrics:
+        every = reduce(DataFrame.unionByName, metrics)
+        warehouse.append("ops", "dq_results", every.select(*stamp, "source", "rule", "column", "severity", "evaluated", "violations"), run.run_id)
 
 
 def invariants(reconciliation: DataFrame, histories: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:

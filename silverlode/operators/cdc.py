@@ -33,6 +33,8 @@ class NormalizedStream:
     held_orphans: DataFrame
     conflicts: DataFrame
     replays: DataFrame
+    #: Applied and held together, told apart by ``is_orphan_delete``: what to write where both are wanted.
+    settled: DataFrame
 
 
 def operation(op_column: str | None) -> Column:
@@ -105,4 +107,4 @@ def normalize(df: DataFrame, spec: CdcSpec, known_keys: DataFrame | None = None)
         marked = winners.withColumn("_orphan", orphan).join(known, list(spec.keys), "left")
         marked = marked.withColumn("is_orphan_delete", F.col("_orphan") & F.col("_known").isNull()).drop("_orphan", "_known")
     replays = numbered.where("_copy > 1").agg(F.count(F.lit(1)).alias("replays_dropped"))
-    return NormalizedStream(marked.where("not is_orphan_delete").drop("is_orphan_delete"), marked.where("is_orphan_delete"), losers, replays)
+    return NormalizedStream(marked.where("not is_orphan_delete").drop("is_orphan_delete"), marked.where("is_orphan_delete"), losers, replays, marked)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.config import Rate, parse_rates
@@ -170,12 +170,21 @@ def funnel_sessions(activity: DataFrame, orders: DataFrame, window_hours: int =
         F.min("activity_ts").alias("_first"),
     )
     s = s.withColumns({"last_cart_add_ts": F.col("_add.activity_ts"), "cart_regressed": F.coalesce(F.col("_remove") > F.col("_add"), F.lit(False))})
-    o = orders.select(F.col("customer_id").alias("_cid"), F.col("order_id").alias("_oid"), F.col("event_ts").alias("_paid"))
+    # Time is cut into spans no shorter than the window: an order falls into the span of its cart or the next, so it is shown
+    # to its own span and the one before. One sorted pass for each customer and span finds the next order; no cart meets all
+    # orders of its customer, and a customer with many is spread over time. Sessions that cannot convert are dealt by id.
+    days = window_hours // 24 + 1
+    span = lambda at: F.floor(F.datediff(at, F.lit("1970-01-01").cast("date")) / days)
+    carted = F.col("last_cart_add_ts").isNotNull() & F.col("customer_id").isNotNull()
+    s = s.withColumns({"_who": F.when(carted, F.col("customer_id")), "_span": F.when(carted, span("last_cart_add_ts")).otherwise(F.xxhash64("session_id")), "_at": F.col("last_cart_add_ts")})
+    o = orders.where("customer_id is not null and event_ts is not null").select(F.col("customer_id").alias("_who"), F.col("event_ts").alias("_at"), F.struct(F.col("event_ts").alias("at"), F.col("order_id").alias("id")).alias("_order"))
+    o = o.withColumn("_span", F.explode(F.array(span("_at"), span("_at") - 1)))
+    # backwards in time, so that the nearest order is the last one passed; at the same time orders come first, the least id last
+    back = Window.partitionBy("_who", "_span").orderBy(F.desc("_at"), F.desc_nulls_last("_order")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = s.unionByName(o, allowMissingColumns=True).withColumn("_next", F.last("_order", ignorenulls=True).over(back)).where("_order is null")
     limit = F.col("last_cart_add_ts") + F.make_interval(hours=F.lit(window_hours))
-    carts = s.where("last_cart_add_ts is not null and customer_id is not null").select("session_id", "customer_id", "last_cart_add_ts")
-    hits = carts.join(o, (F.col("customer_id") == F.col("_cid")) & (F.col("_paid") >= F.col("last_cart_add_ts")) & (F.col("_paid") <= limit))
-    won = hits.groupBy("session_id").agg(F.min_by("_oid", F.struct("_paid", "_oid")).alias("converting_order_id"))
-    out = s.join(won, "session_id", "left").withColumn("converted", F.col("converting_order_id").isNotNull())
+    out = both.withColumn("converting_order_id", F.when(F.col("_who").isNotNull() & (F.col("_next.at") <= limit), F.col("_next.id")))
+    out = out.withColumn("converted", F.col("converting_order_id").isNotNull())
     return out.select(
         "session_id", "customer_id", F.when(F.col("converted"), 3).otherwise(F.col("stage")).alias("stage"), "converted", "cart_regressed", "duplicate_stage_events",
         "converting_order_id", "last_cart_add_ts", F.to_date(F.coalesce("last_cart_add_ts", "_first")).alias("session_date"),

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.values import ingestion_order, lateness, record_hash
 from ..operators import audit, cdc, dq, gold, scd2
 from ..sources import files
-from . import inputs
+from ..sources.tables import Warehouse, scratch
+from ..streaming import bronze
+from . import inputs, landed
 from .inputs import derive, duck
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,28 +33,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # ---- data quality
 
 RAW = f"raw AS ({duck(inputs.RAW)})"
-CHECKED = RAW + r""", typed AS (SELECT *,
-  (event_id IS NULL OR regexp_full_match(event_id, '\s*')) AS event_id_null_key,
-  op = 'D' AS gone,
-  TRY_CAST(CASE WHEN regexp_full_match(trim(event_id), '[+-]?\d+') THEN trim(event_id) END AS BIGINT) AS t_event_id,
-  TRY_CAST(CASE WHEN regexp_full_match(trim(user_id), '[+-]?\d+') THEN trim(user_id) END AS BIGINT) AS t_user_id,
-  TRY_CAST(CASE WHEN regexp_full_match(trim(qty), '[+-]?\d+') THEN trim(qty) END AS INTEGER) AS t_qty,
-  TRY_CAST(CASE WHEN regexp_full_match(trim(seen_ts), '\d{4}-\d{1,2}-\d{1,2}([T ].*)?') THEN trim(seen_ts) END AS TIMESTAMP) AS t_seen_ts FROM raw),
-flagged AS (SELECT *,
-  NOT gone AND (user_id IS NULL OR regexp_full_match(user_id, '\s*')) AS user_id_null_key,
-  coalesce(NOT event_id_null_key AND t_event_id IS NULL, false) AS event_id_try_cast,
-  coalesce(NOT gone AND trim(user_id) <> '' AND t_user_id IS NULL, false) AS user_id_try_cast,
-  coalesce(NOT gone AND trim(qty) <> '' AND t_qty IS NULL, false) AS qty_try_cast,
-  coalesce(NOT gone AND trim(seen_ts) <> '' AND t_seen_ts IS NULL, false) AS seen_ts_try_cast,
-  coalesce(event_type NOT IN ('click', 'view', 'signup', 'purchase', 'error'), false) AS event_type_domain,
-  coalesce(NOT gone AND trim(email) <> '' AND NOT regexp_full_match(email, '[^@\s]+@[^@\s]+\.[^@\s]+'), false) AS email_format,
-  coalesce(t_qty < 1, false) AS qty_range,
-  coalesce(t_seen_ts > TIMESTAMP '2024-02-01 00:05:00', false) AS seen_ts_plausibility,
-  row_number() OVER (PARTITION BY event_id, user_id, event_type, email, qty, seen_ts, op ORDER BY _ingestion_order) > 1 AS row_duplicate FROM typed),
-checked AS (SELECT *, NOT event_id_null_key AND NOT row_duplicate AND sum(CASE WHEN row_duplicate THEN 0 ELSE 1 END) OVER (PARTITION BY event_id) > 1 AS key_duplicate FROM flagged),
-reasoned AS (SELECT *, list_sort(list_filter([""" + ", ".join(
-    f"CASE WHEN {c} THEN '{c}' END" for c in ("event_id_null_key", "user_id_null_key", "event_id_try_cast", "user_id_try_cast", "qty_try_cast", "seen_ts_try_cast", "event_type_domain", "qty_range", "seen_ts_plausibility", "row_duplicate", "key_duplicate")
-) + "], lambda x : x IS NOT NULL)) AS reason FROM checked)"
+_SHAPES = {"BIGINT": r"[+-]?\d+", "DECIMAL(6,2)": r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", "DATE": r"\d{4}-\d{1,2}-\d{1,2}", "TIMESTAMP": r"\d{4}-\d{1,2}-\d{1,2}([T ].*)?"}
+_TYPES = {"visit": "BIGINT", "visitor": "BIGINT", "spent": "DECIMAL(6,2)", "seen_on": "DATE", "seen_at": "TIMESTAMP"}
+_LANDED = "visit, visitor, action, page, spent, member, seen_on, seen_at, op"
+_CASTS = ", ".join(f"TRY_CAST(CASE WHEN regexp_full_match(trim({c}), '{_SHAPES[t]}') THEN trim({c}) END AS {t}) AS t_{c}" for c, t in _TYPES.items())
+_MISFITS = ", ".join(f"coalesce({'' if c == 'visit' else 'NOT gone AND '}trim({c}) <> '' AND t_{c} IS NULL, false) AS {c}_try_cast" for c in (*_TYPES, "member"))
+_REASONS = ("visit_null_key", *(f"{c}_try_cast" for c in _TYPES), "page_format", "seen_at_plausibility", "spent_range", "row_duplicate", "key_duplicate")
+CHECKED = RAW + f""", typed AS (SELECT *, op = 'D' AS gone, {_CASTS},
+  CASE lower(trim(member)) WHEN 'yes' THEN true WHEN 'true' THEN true WHEN 'no' THEN false END AS t_member FROM raw),
+flagged AS (SELECT *, {_MISFITS},
+  (visit IS NULL OR trim(visit) = '') AS visit_null_key,
+  NOT gone AND (visitor IS NULL OR trim(visitor) = '') AS visitor_null_key,
+  coalesce(trim(action) NOT IN ('purchase', 'signup', 'view', 'click'), false) AS action_domain,
+  coalesce(NOT gone AND trim(page) <> '' AND NOT regexp_full_match(trim(page), '[a-z]{{2}}-[0-9]+'), false) AS page_format,
+  coalesce(t_spent < 0 OR t_spent > 85, false) AS spent_range,
+  coalesce(t_seen_on > DATE '2024-02-01', false) AS seen_on_plausibility,
+  coalesce(t_seen_at > TIMESTAMP '2024-02-01 01:30:00', false) AS seen_at_plausibility,
+  row_number() OVER (PARTITION BY {_LANDED} ORDER BY _ingestion_order) > 1 AS row_duplicate FROM typed),
+checked AS (SELECT *, NOT visit_null_key AND NOT row_duplicate AND sum(CASE WHEN row_duplicate THEN 0 ELSE 1 END) OVER (PARTITION BY visit) > 1 AS key_duplicate FROM flagged),
+reasoned AS (SELECT *, list_sort(list_filter([""" + ", ".join(f"CASE WHEN {c} THEN '{c}' END" for c in _REASONS) + "], lambda x : x IS NOT NULL)) AS reason FROM checked)"
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +65,8 @@ def _rule_query(name: str, rule: str) -> None:
     @query(name, f"WITH {CHECKED} {parts}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Rows that break the rule; only the columns under it are typed, and nothing is shuffled."""
-        raw, c = derive(spark, sf_dir, inputs.RAW), inputs.CONTRACT
-        gone, found = dq.delete_image(inputs.RULES), []
-        for r in flags:
-            broken = dq.violation(r, dq.Subject(F.col(r.column), dq.coerce(F.col(r.column), c.columns[r.column]), c.columns[r.column], inputs.AS_OF))
-            found.append(F.when(broken & ~gone if dq._suppressible(r, inputs.RULES) else broken, F.lit(r.reason)))
-        return raw.select("_ingestion_order", F.explode(F.array_compact(F.array(*found))).alias("reason"))
+        found = [F.when(dq.rule_violation(r, inputs.RULES, inputs.AS_OF), F.lit(r.reason)) for r in flags]
+        return derive(spark, sf_dir, inputs.RAW).select("_ingestion_order", F.explode(F.array_compact(F.array(*found))).alias("reason"))
 
 
 for _rule in ("null_key", "try_cast", "domain", "format", "range", "plausibility"):
@@ -83,46 +78,49 @@ def dq_reason_array(spark, sf_dir):
     return _validated(spark, sf_dir).select("_ingestion_order", F.concat_ws("|", "reason").alias("reason"))
 
 
-@query("dq_delete_suppression", f"WITH {CHECKED} SELECT _ingestion_order, array_to_string(reason, '|') AS reason, email_format FROM reasoned WHERE op = 'D'")
+@query("dq_delete_suppression", f"WITH {CHECKED} SELECT _ingestion_order, array_to_string(reason, '|') AS reason, page_format, visitor_null_key FROM reasoned WHERE op = 'D'")
 def dq_delete_suppression(spark, sf_dir):
-    return _validated(spark, sf_dir).where("op = 'D'").select("_ingestion_order", F.concat_ws("|", "reason").alias("reason"), F.col("_is_email_format").alias("email_format"))
+    return _validated(spark, sf_dir).where("op = 'D'").select("_ingestion_order", F.concat_ws("|", "reason").alias("reason"), F.col("_is_page_format").alias("page_format"), F.col("_is_visitor_null_key").alias("visitor_null_key"))
 
 
 for _kind in ("row", "key"):
-    QUERIES[f"dq_{_kind}_duplicate"] = lambda spark, sf_dir, k=_kind: dq.flag_duplicates(derive(spark, sf_dir, inputs.RAW), list(inputs.CONTRACT.columns), inputs.CONTRACT.identity).where(f"_is_{k}_duplicate").select("_ingestion_order", "event_id")
-    SQL[f"dq_{_kind}_duplicate"] = f"WITH {CHECKED} SELECT _ingestion_order, event_id FROM checked WHERE {_kind}_duplicate"
+    QUERIES[f"dq_{_kind}_duplicate"] = lambda spark, sf_dir, k=_kind: dq.flag_duplicates(derive(spark, sf_dir, inputs.RAW), list(inputs.CONTRACT.columns), inputs.CONTRACT.identity).where(f"_is_{k}_duplicate").select("_ingestion_order", "visit")
+    SQL[f"dq_{_kind}_duplicate"] = f"WITH {CHECKED} SELECT _ingestion_order, visit FROM checked WHERE {_kind}_duplicate"
 
 
-@query("dq_lineitem_key_duplicate", "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+@query("dq_lineitem_key_duplicate", "WITH d AS (SELECT DISTINCT l_orderkey, l_suppkey, l_linenumber FROM lineitem) SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey, count(*) AS copies FROM d GROUP BY ALL HAVING count(*) > 1")
 def dq_lineitem_key_duplicate(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    """Lines whose order and supplier are not theirs alone, by the operator, on a composite identity."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_suppkey", "l_linenumber")
+    rows = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+    found = dq.flag_duplicates(rows, list(rows.columns), ("l_orderkey", "l_suppkey"), "l_linenumber")
+    return found.where("_is_key_duplicate").groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@query("dq_valid", f"WITH {CHECKED} SELECT _ingestion_order, t_event_id AS event_id, t_user_id AS user_id, event_type, email, t_qty AS qty, t_seen_ts AS seen_ts, op FROM reasoned WHERE len(reason) = 0")
+@query("dq_valid", f"WITH {CHECKED} SELECT _ingestion_order, t_visit AS visit, t_visitor AS visitor, action, page, t_spent AS spent, t_member AS member, t_seen_on AS seen_on, t_seen_at AS seen_at, op FROM reasoned WHERE len(reason) = 0")
 def dq_valid(spark, sf_dir):
     valid, _ = dq.split(_validated(spark, sf_dir), inputs.RULES, ("_ingestion_order",))
-    return valid.withColumn("seen_ts", F.col("seen_ts").cast("timestamp_ntz"))
+    return valid.withColumn("seen_at", F.col("seen_at").cast("timestamp_ntz"))
 
 
-@query("dq_quarantine", f"WITH {CHECKED} SELECT _ingestion_order, event_id, user_id, event_type, email, qty, seen_ts, op, array_to_string(reason, '|') AS reason FROM reasoned WHERE len(reason) > 0")
+@query("dq_quarantine", f"WITH {CHECKED} SELECT _ingestion_order, {_LANDED}, array_to_string(reason, '|') AS reason FROM reasoned WHERE len(reason) > 0")
 def dq_quarantine(spark, sf_dir):
     _, bad = dq.split(_validated(spark, sf_dir), inputs.RULES, ("_ingestion_order",))
     return bad.withColumn("reason", F.concat_ws("|", "reason"))
 
 
-_METRICS = [(r.rule, r.column, r.severity, r.reason, "count_if(NOT gone)" if dq._suppressible(r, inputs.RULES) else "count(*)") for r in inputs.RULES.rules]
+_METRICS = [(r.rule, r.column, r.severity, r.reason, "count_if(NOT gone)" if dq.suppressible(r, inputs.RULES) else "count(*)") for r in inputs.RULES.rules]
 _METRICS += [(f"{k}_duplicate", k, "quarantine", f"{k}_duplicate", "count(*)") for k in ("row", "key")]
 
 
-@query("dq_metrics", f"WITH {CHECKED} " + " UNION ALL ".join(f"SELECT 'web_events' AS source, '{a}' AS rule, '{b}' AS \"column\", '{s}' AS severity, CAST({e} AS BIGINT) AS evaluated, CAST(count_if({v}) AS BIGINT) AS violations FROM checked" for a, b, s, v, e in _METRICS))
+@query("dq_metrics", f"WITH {CHECKED} " + " UNION ALL ".join(f"SELECT 'visits' AS source, '{a}' AS rule, '{b}' AS \"column\", '{s}' AS severity, CAST({e} AS BIGINT) AS evaluated, CAST(count_if({v}) AS BIGINT) AS violations FROM checked" for a, b, s, v, e in _METRICS))
 def dq_metrics(spark, sf_dir):
     return dq.metrics(_validated(spark, sf_dir), inputs.RULES)
 
 
-@query("dq_conservation", f"WITH {CHECKED} SELECT 'web_events' AS source, count(*) AS input_rows, CAST(count_if(len(reason) = 0) AS BIGINT) AS valid_rows, CAST(count_if(len(reason) > 0) AS BIGINT) AS quarantine_rows, true AS conserved FROM reasoned")
+@query("dq_conservation", f"WITH {CHECKED} SELECT 'visits' AS source, count(*) AS input_rows, CAST(count_if(len(reason) = 0) AS BIGINT) AS valid_rows, CAST(count_if(len(reason) > 0) AS BIGINT) AS quarantine_rows, (SELECT count(*) FROM raw) = count_if(len(reason) = 0) + count_if(len(reason) > 0) AS conserved FROM reasoned")
 def dq_conservation(spark, sf_dir):
-    return dq.summary(_validated(spark, sf_dir), "web_events")
+    return dq.summary(_validated(spark, sf_dir), "visits")
 
 
 @query("reason_counts", f"WITH {CHECKED} SELECT u AS reason, count(*) AS rows FROM (SELECT unnest(reason) AS u FROM reasoned) GROUP BY u")
@@ -223,14 +221,13 @@ def scd2_history(spark, sf_dir):
     return _history(spark, sf_dir)
 
 
-@query("scd2_incremental", f"WITH {HISTORY} SELECT user_id, change_ts, change_seq, kind, amount FROM hist WHERE is_current")
+@query("scd2_incremental", f"WITH {HISTORY} SELECT * FROM hist")
 def scd2_incremental(spark, sf_dir):
-    """The later half merged into the history of the earlier one: the currents of the whole."""
+    """The later half merged into the history of the earlier one: the history of the whole."""
     events = _applied(spark, sf_dir)
     early = F.dayofmonth("change_ts") <= 15
     first = scd2.rebuild(events.where(early), ["user_id"], SEQ, ATTR)
-    out = scd2.rebuild(events.where(~early), ["user_id"], SEQ, ATTR, first)
-    return scd2.current(out).select("user_id", *SEQ, *ATTR)
+    return scd2.rebuild(events.where(~early), ["user_id"], SEQ, ATTR, first)
 
 
 @query("scd2_current", f"WITH {HISTORY} SELECT * FROM hist WHERE is_current")
@@ -369,10 +366,16 @@ def unknown_bucket(spark, sf_dir):
     return gold.daily_sum(_regional(spark, sf_dir), ["region", "category"])
 
 
-@query("aggregate_conservation", f"WITH {FACTS} SELECT CAST(sum(amount_base) AS DECIMAL(38,2)) AS groups_total, CAST(sum(amount_base) AS DECIMAL(38,2)) AS input_total, true AS conserved FROM lines")
+@query("aggregate_conservation", f"""WITH {FACTS}, g AS (SELECT region, sum(amount_base) AS t FROM regional GROUP BY region),
+s AS (SELECT (SELECT CAST(sum(t) AS DECIMAL(38,2)) FROM g) AS whole, (SELECT CAST(sum(t) AS DECIMAL(38,2)) FROM g WHERE region <> 'ASIA') AS part, (SELECT CAST(sum(amount_base) AS DECIMAL(38,2)) FROM lines) AS input_total)
+SELECT 'whole' AS case_, whole AS groups_total, input_total, whole = input_total AS conserved FROM s UNION ALL SELECT 'part', part, input_total, part = input_total FROM s""")
 def aggregate_conservation(spark, sf_dir):
-    rows = _regional(spark, sf_dir)
-    return gold.conservation(gold.daily_sum(rows, ["region"]), rows)
+    """All groups, and groups of which some are lost, against the lines they came from."""
+    lines = _lines(spark, sf_dir)
+    groups = gold.daily_sum(_regional(spark, sf_dir), ["region"])
+    cases = (("whole", groups), ("part", groups.where("region not in ('ASIA', 'UNKNOWN')")))
+    a, b = (gold.conservation(g, lines).withColumn("case_", F.lit(n)) for n, g in cases)
+    return a.unionByName(b)
 
 
 FUNNEL = f"""act AS ({inputs.ACTIVITY}), pur AS ({inputs.PURCHASES}),
@@ -428,10 +431,11 @@ def batch_dates(spark, sf_dir):
     return derive(spark, sf_dir, inputs.NAMES).select("event_id", files.batch_date(F.col("name")).alias("_batch_date"))
 
 
-@query("file_identity", "SELECT event_id, 'landing/orders/' || CAST(event_id AS VARCHAR) || '.json' AS file FROM events")
+@query("file_identity", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '/' ELSE '../' END || 'orders/' || CAST(event_id AS VARCHAR) || '.json' AS file FROM events")
 def file_identities(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    return e.select("event_id", files.identity_column(F.concat(F.lit(" landing//orders///"), F.col("event_id").cast("string"), F.lit(".json "))).alias("file"))
+    start = F.when(F.col("event_id") % 3 == 0, " landing/.././/orders///").when(F.col("event_id") % 3 == 1, "/../landing/..//orders/").otherwise("../x/../orders//")
+    return e.select("event_id", files.identity_column(F.concat(start, F.col("event_id").cast("string"), F.lit(".json "))).alias("file"))
 
 
 @query("ingestion_order", f"WITH n AS ({inputs.NAMES}) SELECT event_id, name || '#' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS _ingestion_order FROM n")
@@ -439,17 +443,72 @@ def ingestion_orders(spark, sf_dir):
     return derive(spark, sf_dir, inputs.NAMES).select("event_id", ingestion_order(F.col("name"), F.col("event_id")).alias("_ingestion_order"))
 
 
-@query("reconciliation", f"WITH {CHECKED} SELECT 'web_events' AS source, count(*) AS bronze_rows, count_if(len(reason) = 0) AS valid_rows, count_if(len(reason) > 0) AS quarantine_rows, true AS conserved FROM reasoned")
+# ---- landed files
+
+
+@query("bronze_csv", """SELECT CASE WHEN c_custkey % 3 < 2 THEN CAST(c_custkey AS VARCHAR) END AS person,
+  CASE WHEN c_custkey % 3 = 0 AND c_custkey % 5 = 0 THEN c_name || ', "' || c_mktsegment || '"' || chr(10) || 'of ' || CAST(c_custkey AS VARCHAR) ELSE c_name END AS name, c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS _ingestion_order,
+  DATE '2026-06-01' + CAST(c_custkey % 3 AS INTEGER) AS _batch_date, CASE c_custkey % 3 WHEN 1 THEN '{"x1":"first","x30":"last"}' WHEN 2 THEN '{"name#3":"again","#5":"beyond"}' END AS _rescued_data FROM customer""")
+def bronze_csv(spark, sf_dir):
+    folder = scratch(spark, "landing")
+    landed.land_people(spark, sf_dir, folder)
+    return files.read_csv(spark, folder, landed.PEOPLE).select("person", "name", "segment", "_ingestion_order", "_batch_date", "_rescued_data")
+
+
+@query("bronze_flow", """SELECT CASE WHEN p_partkey % 50 <> 1 THEN CAST(p_partkey AS VARCHAR) END AS good, CASE WHEN p_partkey % 50 <> 1 AND p_partkey % 6 <> 0 THEN p_name END AS label, CASE WHEN p_partkey % 50 <> 1 THEN CAST(p_size AS VARCHAR) END AS size,
+  CASE WHEN p_partkey % 50 = 1 THEN '{"_corrupt":"{\\"good\\": ' || CAST(p_partkey AS VARCHAR) || '"}' WHEN p_partkey % 4 = 0 THEN '{"colour":"red"}' END AS _rescued_data, CASE WHEN p_partkey % 2 = 1 THEN DATE '2026-06-01' ELSE DATE '2026-06-02' END AS _batch_date
+  FROM part WHERE p_partkey % 50 <> 2""")
+def bronze_flow(spark, sf_dir):
+    """Two emitters into one table, run after each day's landing and once more: every row once."""
+    root = scratch(spark, "flow")
+    w = Warehouse(spark, f"{root}/warehouse")
+    for day in (1, 2, 2):
+        landed.land_goods(spark, sf_dir, f"{root}/landing", day)
+        bronze.ingest(spark, f"{root}/landing", w, {"goods": landed.GOODS_SOURCE}, {"goods": landed.GOODS}, f"{root}/checkpoints")
+    return bronze.read_bronze(w, "goods").select("good", "label", "size", "_rescued_data", "_batch_date")
+
+
+@query("run_audit", f"""WITH {CHECKED} SELECT 'r1' AS run_id, 'visits' AS source, 'dev' AS environment, (SELECT count(*) FROM raw) AS bronze_rows, count_if(len(reason) = 0) AS valid_rows, count_if(len(reason) > 0) AS quarantine_rows, true AS conserved,
+  count_if(row_duplicate) AS row_duplicates FROM reasoned""")
+def run_audit(spark, sf_dir):
+    """A run recorded twice is there once, beside the metrics of its rules."""
+    w = Warehouse(spark, scratch(spark, "audit"))
+    checked = w.refresh("silver", "visits", _validated(spark, sf_dir))
+    valid, bad = dq.split(checked, inputs.RULES)
+    counts = audit.reconcile(derive(spark, sf_dir, inputs.RAW), valid, bad, "visits")
+    for _ in range(2):
+        audit.record_run(w, audit.new_run(run_id="r1"), counts, [dq.metrics(checked, inputs.RULES)])
+    copies = w.read("ops", "dq_results").where("rule = 'row_duplicate'").select("run_id", F.col("violations").alias("row_duplicates"))
+    return w.read("ops", "pipeline_runs").select("run_id", "source", "environment", "bronze_rows", "valid_rows", "quarantine_rows", "conserved").join(copies, "run_id")
+
+
+@query("batch_order", f"WITH n AS ({inputs.NAMES}) SELECT event_id, CAST(7 AS INTEGER) AS batch_seq, event_id AS position FROM n")
+def batch_order(spark, sf_dir):
+    rows = derive(spark, sf_dir, inputs.NAMES).select("event_id", F.col("event_id").cast("string").alias("_ingestion_order"))
+    return files.with_batch_order(rows, 7).select("event_id", "_order.batch_seq", "_order.position")
+
+
+@query("cdc_metadata", f"WITH ch AS ({duck(inputs.CHANGES)}) SELECT _ingestion_order, op AS _op, change_ts AS at, change_seq AS seq FROM ch")
+def cdc_metadata(spark, sf_dir):
+    return cdc.with_metadata(_changes(spark, sf_dir), SPEC).select("_ingestion_order", "_op", F.col("_sequence.change_ts").alias("at"), F.col("_sequence.change_seq").alias("seq"))
+
+
+@query("reconciliation", f"""WITH {CHECKED}, n AS (SELECT 's' || CAST(k AS VARCHAR) AS source, (SELECT count(*) FROM raw) AS bronze_rows, count_if(len(reason) = 0) AS valid_rows, count_if(len(reason) > 0 AND (k = 0 OR src_id NOT LIKE '%7')) AS quarantine_rows
+  FROM reasoned, (SELECT unnest([0, 1]) AS k) GROUP BY k) SELECT *, bronze_rows = valid_rows + quarantine_rows AS conserved FROM n""")
 def reconciliation(spark, sf_dir):
-    valid, bad = dq.split(_validated(spark, sf_dir), inputs.RULES)
-    return audit.reconcile(derive(spark, sf_dir, inputs.RAW), valid, bad, "web_events")
+    """A source that is conserved, and one whose quarantine lost rows."""
+    raw, (valid, bad) = derive(spark, sf_dir, inputs.RAW), dq.split(_validated(spark, sf_dir), inputs.RULES, ("src_id",))
+    return audit.reconcile(raw, valid, bad, "s0").unionByName(audit.reconcile(raw, valid, bad.where("src_id not like '%7'"), "s1"))
 
 
-@query("invariants", f"WITH {HISTORY} SELECT 'dim_user' AS subject, CAST(user_id AS VARCHAR) AS key, 'current_count' AS violation FROM hist WHERE _is_terminal AND NOT is_deleted AND user_id % 7 = 0")
+@query("invariants", f"WITH {HISTORY} SELECT 'dim_user' AS subject, CAST(user_id AS VARCHAR) AS key, 'current_count' AS violation FROM hist WHERE _is_terminal AND NOT is_deleted AND user_id % 7 = 0 UNION ALL SELECT 'lost', NULL, 'not_conserved'")
 def invariants(spark, sf_dir):
+    """A history with currents taken away, a source that is conserved, and one that lost a region's nations."""
     h = _history(spark, sf_dir).withColumn("is_current", F.col("is_current") & (F.col("user_id") % 7 != 0))
-    whole = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return audit.invariants(audit.reconcile(whole, whole, whole.limit(0), "region"), {"dim_user": (h, ["user_id"], SEQ)})
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    low, high = n.where("n_regionkey < 2"), n.where("n_regionkey >= 2")
+    kept = audit.reconcile(n, low, high, "kept").unionByName(audit.reconcile(n, low, high.where("n_regionkey <> 3"), "lost"))
+    return audit.invariants(kept, {"dim_user": (h, ["user_id"], SEQ)})
 
 
 @query("batch_fingerprint")

@@ -275,10 +275,16 @@ class Params:
     landing: str
     lateness_days: int = 7
     funnel_hours: int = 24
+    warehouse: str | None = None
+    #: Whether the session's own catalog holds the schemas, under names that begin with ``catalog``.
+    shared: bool = False
     schemas: dict[str, str] = field(default_factory=lambda: {s: s for s in ("bronze", "silver", "gold", "ops")})
 
     def qualified(self, layer: str, table: str) -> str:
-        return f"{self.catalog}.{self.schemas[layer]}.{table}" if self.catalog else f"{self.schemas[layer]}.{table}"
+        """The table's name: in its catalog, or, where that is no catalog of its own, in a schema that carries its name."""
+        if not self.catalog:
+            return f"{self.schemas[layer]}.{table}"
+        return f"{self.catalog}{'_' if self.shared else '.'}{self.schemas[layer]}.{table}"
 
 
 def guard_environment(catalog: str, environment: str) -> None:
@@ -298,10 +304,10 @@ def resolve_params(args: list[str] = (), conf: dict[str, str] | None = None, pre
         if not m:
             raise ConfigError(f"cannot read argument {a!r}")
         given[m[1].replace("-", "_")] = m[2]
-    known = {"catalog", "environment", "landing", "lateness_days", "funnel_hours"}
+    known = {"catalog", "environment", "landing", "lateness_days", "funnel_hours", "warehouse"}
     _only("parameters", given, known, {"catalog", "environment", "landing"})
     guard_environment(given["catalog"], given["environment"])
     try:
-        return Params(given["catalog"], given["environment"], given["landing"], int(given.get("lateness_days", 7)), int(given.get("funnel_hours", 24)))
+        return Params(given["catalog"], given["environment"], given["landing"], int(given.get("lateness_days", 7)), int(given.get("funnel_hours", 24)), given.get("warehouse"))
     except ValueError as e:
         raise ConfigError(str(e)) from e

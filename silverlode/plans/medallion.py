@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +44,16 @@ class Pipeline:
         self.gold(present)
         w = self.warehouse
         parts = [audit.reconcile(bronze.read_bronze(w, s), w.read("silver", f"{s}_valid"), w.read("silver", f"{s}_quarantine"), s) for s in present]
-        whole = parts[0]
-        for p in parts[1:]:
-            whole = whole.unionByName(p)
+        whole = reduce(DataFrame.unionByName, parts) if parts else audit.reconcile(*[self.spark.range(0)] * 3, "").limit(0)
         whole = w.refresh("gold", "dq_reconciliation", whole)
         audit.record_run(w, run or audit.new_run(), whole, metrics)
+        return self.invariants()
+
+    def invariants(self) -> DataFrame:
+        """Whatever breaks in the tables as they stand: sources not conserved, histories that do not hold together."""
+        w = self.warehouse
         histories = {n: (w.read("silver", f"{n}_hist"), list(e.keys), self.sequence(n)) for n, e in self.entities.items() if e.scd_type == 2 and w.exists("silver", f"{n}_hist")}
-        return audit.invariants(whole, histories)
+        return audit.invariants(w.read("gold", "dq_reconciliation"), histories)
 
     def sequence(self, entity: str) -> list[str]:
         return list(self.entities[entity].sequence)
@@ -89,10 +93,12 @@ class Pipeline:
         if "customers" in present:
             e = self.entities["dim_customer"]
             spec = cdc.CdcSpec(e.keys, e.sequence, "_op")
-            found = cdc.normalize(self.customer_events(), spec)
-            w.refresh("silver", "dim_customer_held_orphans", found.held_orphans)
-            attributes = [c for c in found.applied.columns if c not in (*e.keys, *e.sequence, "_op")]
-            w.refresh("silver", "dim_customer_hist", scd2.rebuild(found.applied, list(e.keys), list(e.sequence), attributes))
+            # settled once, written, then read by both tables
+            settled = w.refresh("silver", "_dim_customer_settled", cdc.normalize(self.customer_events(), spec).settled)
+            w.refresh("silver", "dim_customer_held_orphans", settled.where("is_orphan_delete"))
+            applied = settled.where("not is_orphan_delete").drop("is_orphan_delete")
+            attributes = [c for c in applied.columns if c not in (*e.keys, *e.sequence, "_op")]
+            w.refresh("silver", "dim_customer_hist", scd2.rebuild(applied, list(e.keys), list(e.sequence), attributes))
         for name, source in (("dim_product", "products"), ("dim_store", "stores")):
             if source in present:
                 e = self.entities[name]

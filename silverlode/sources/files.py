@@ -65,7 +65,18 @@ def file_identity(path: str) -> str:
 
 
 def identity_column(path: Column) -> Column:
-    return F.regexp_replace(F.trim(path), r"(?<!:)/{2,}", "/")
+    """``file_identity`` over a column: parts are folded from the left, so ``..`` takes back the part before it."""
+    clean = F.regexp_replace(F.trim(path), r"(?<!:)/{2,}", "/")
+    rooted = F.startswith(clean, F.lit("/"))
+    last = lambda a: F.try_element_at(a, F.lit(-1))
+
+    def fold(a: Column, part: Column) -> Column:
+        up = (F.size(a) > 0) & (last(a) != "..")
+        back = F.when(up, F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(rooted, a).otherwise(F.array_append(a, F.lit("..")))
+        return F.when(part.isin("", "."), a).when(part == "..", back).otherwise(F.array_append(a, part))
+
+    parts = F.array_join(F.aggregate(F.split(clean, "/"), F.array().cast("array<string>"), fold), "/")
+    return F.when(rooted, F.concat(F.lit("/"), parts)).when(parts == "", ".").otherwise(parts)
 
 
 def check_file(source: Source, name: str, emitter: str | None = None, size: int | None = None, known: set[str] = frozenset()) -> list[str]:
@@ -125,24 +136,51 @@ def read_json(spark: SparkSession, path: str, contract: SourceContract, streamin
     return _from_json(lines, (*contract.columns, "_ingestion_order"))
 
 
+#: A doubled quote stands for one; a quoted cell may hold delimiters and line ends. No file is refused for its width.
+_CSV = {"multiLine": "true", "escape": '"', "recursiveFileLookup": "true", "maxColumns": str(1 << 20)}
+
+
+def _csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Every record of every file, headers included, as ``record``, with a number that grows along its file."""
+    # a schema of one cell makes each longer record a misfit, which is kept whole
+    rows = spark.read.format("csv").schema("_first string, _whole string").options(**_CSV, columnNameOfCorruptRecord="_whole", header="false").load(path)
+    return rows.select(F.col("_metadata.file_path").alias("_hp"), F.monotonically_increasing_id().alias("at"), F.coalesce("_whole", "_first").alias("record"))
+
+
+def _cell_names(cells: Column) -> Column:
+    """The name of each cell of a header: as written, or ``name#position`` where blank, repeated or so written, so that none clash."""
+    clean = F.transform(cells, lambda c, i: F.when(i == 0, F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "")).otherwise(F.coalesce(c, F.lit(""))))
+
+    def name(c: Column, i: Column) -> Column:
+        plain = (F.array_position(clean, c) == i + 1) & (F.trim(c) != "") & ~c.rlike(r"#\d+$")
+        return F.when(plain, c).otherwise(F.concat(c, F.lit("#"), (i + 1).cast("string")))
+
+    return F.transform(clean, name)
+
+
 def read_csv(spark: SparkSession, path: str | list[str], contract: SourceContract) -> DataFrame:
-    """CSV with a header as texts, by name: each row is read against its own file's header.
+    """CSV with a header as texts, by name: each row is read against its own file's header, the first record of the file.
 
     A fixed schema would be applied by position, so a file with one more column would shift the rest.
-    Files are read as lines without a header, and the header line of each file, a row for each file,
-    names the fields; columns beyond the contract go to ``_rescued_data``. A quoted field keeps
-    delimiters but not line ends. A stream goes through ``streaming.bronze``, which reads each batch so.
+    The files are read as wide as their widest record can be. What has no place in the contract goes to
+    ``_rescued_data`` under its name: unknown columns, a name that is repeated (its first column counts),
+    and cells beyond the header, as ``#position``. A column that the header lacks is null. Files are read
+    once for their width and headers and once for their rows; a stream goes through ``streaming.bronze``,
+    which reads each batch so.
     """
     columns = (*contract.columns, "_ingestion_order")
-    width = len(columns) + 16
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    rows = spark.read.format("csv").schema(schema).option("header", "false").option("recursiveFileLookup", "true").load(path)
-    rows = _lineage(rows).withColumn("_cells", F.array(*(f"_c{i}" for i in range(width)))).drop(*(f"_c{i}" for i in range(width)))
-    first = F.col("_cells")[0].isin(*columns) & F.exists("_cells", lambda c: c == contract.identity[0])
-    heads = rows.where(first).groupBy("_file_path").agg(F.any_value("_cells").alias("_names"))
-    body = rows.where(~F.coalesce(first, F.lit(False))).join(heads.withColumnRenamed("_file_path", "_hp"), F.col("_file_path") == F.col("_hp"), "left")
-    pairs = F.filter(F.arrays_zip(F.col("_names").alias("n"), F.col("_cells").alias("v")), lambda p: p["n"].isNotNull())
-    held = body.withColumn("_m", F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["n"], p["v"]))))
+    records = _csv_records(spark, path)
+    commas = F.length("record") - F.length(F.replace(F.col("record"), F.lit(","), F.lit("")))
+    width = (records.agg(F.max(commas)).first()[0] or 0) + 1
+    cells = [f"_c{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in cells)
+    header = F.from_csv("record", schema, {"multiLine": "true", "escape": '"', "maxColumns": str(width + 1)})
+    heads = records.groupBy("_hp").agg(F.min_by("record", "at").alias("record")).select("_hp", header.alias("h")).select("_hp", _cell_names(F.array(*(F.col("h")[c] for c in cells))).alias("_names"))
+    rows = spark.read.format("csv").schema(schema).options(**_CSV, header="true", enforceSchema="true").load(path)
+    body = _lineage(rows.withColumn("_cells", F.array(*cells)).select("_cells", "_metadata")).drop("_metadata")
+    body = body.join(heads, F.col("_file_path") == F.col("_hp"), "left")
+    named = F.arrays_zip(F.col("_names").alias("n"), F.col("_cells").alias("v"))
+    held = body.withColumn("_m", F.map_from_entries(F.transform(named, lambda p: F.struct(p["n"], p["v"]))))
     extra = F.map_filter("_m", lambda k, v: ~k.isin(*columns) & v.isNotNull())
     return held.select(*(F.try_element_at("_m", F.lit(c)).alias(c) for c in columns), *LINEAGE, F.when(F.size(extra) > 0, F.to_json(extra)).alias("_rescued_data"))
 
