@@ -1,41 +1,50 @@
-"""Benchmark decontamination by template canonicalisation.
-
-Numbers, names and units become typed placeholders, windows of five template tokens are looked up
-by hash, and a match counts only if the values behind the placeholders map one to one between item
-and document, so a question asked again with other values is caught, and a chance mixture is not.
-A capitalised token may be a name or a word, in items and in documents alike, so windows that hold one
-are looked up under both codings; what other items hold decides nothing.
-
-The benchmark is taken in blocks of a bounded number of items, each broadcast as arrays; a larger
-benchmark means more blocks over the same rows, never a larger broadcast.
-
-An item with too few windows for that, because it is short or made of numbers, is matched by its whole
-sequence of tokens, values included. In scripts without spaces each character is a token.
-
-Cases, by definition: a null or empty document matches nothing; null or empty items, and items without
-a letter, digit or sign of measure, are matched by nothing; repeated documents and items are each reported;
-items of equal text are all reported; whole texts are read; extra columns are left alone.
+"""Benchmark decontamination by template canonicalisation and a hash join of template windows.
+
+Numbers, names and units become typed placeholders. Every item and every document is cut into windows of
+five template tokens; windows meet by an equi join on their hashes; and a match counts only if the values
+behind the placeholders map one to one between item and document, so a question asked again with other
+values is caught, and a chance mixture is not. A capitalised token may be a name or a word, in items and
+in documents alike, so windows that hold one are taken under each coding with three words at least.
+
+What keeps the join small, without dropping a match:
+
+- Two bit maps of fixed size, one of the benchmark's words and one of its windows, turn most windows of a
+  document away before anything is shuffled; a benchmark that fills them makes the join larger, not wrong.
+- A document needs a share of an item's windows, so it holds one at least of any set that leaves fewer
+  than that out: the pairs to look at come from the item's windows that are rarest in the documents, and
+  a window that is in every document joins nothing but such pairs.
+- Equal texts are looked up once.
+
+An item that has too few windows for that, because it is short or made of numbers, is matched by all its
+tokens in a row, values included. In scripts without spaces each character is a token.
+
+Cases, by definition: a null or empty document holds nothing; null or empty items, and items without a
+letter, digit or sign of measure, are held by nothing; an item without an id is reported under null;
+repeated documents are each reported, a repeated item (id and text) once, items of equal text under each
+id; whole texts are read; an empty table on either side finds nothing; extra columns stay, and where one
+has the name of the new column, that is lengthened by underscores.
 """
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import reach_package
+from .store import fresh, materialize
 
 WINDOW = 5
-#: Windows of an item that have to be found near one another: this share of them, or this number where that is fewer.
+#: Words that a window has to hold beside its placeholders.
+LEAST_WORDS = 3
+#: The share of an item's windows (of those with words enough beside all capitals) that has to be found near one another.
 SHARE = 0.8
-ENOUGH = 8
-#: Windows that a template has to need; an item that needs fewer is matched whole.
+#: Windows that a template has to need; an item that needs fewer is matched by all its tokens.
 FEW = 4
-#: Items in a broadcast block.
-BLOCK = 20_000
-NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+#: Bits of the two maps, as powers of two: 1 MB and 16 MB whatever the benchmark.
+WORD_BITS, WINDOW_BITS = 23, 27
 #: Words and signs of measure.
 UNITS = frozenset(
     "% $ € £ ° mm cm km meter meters metre metres kilometer kilometers kilometre kilometres mile miles inch inches foot feet yard yards "
@@ -46,234 +55,318 @@ UNITS = frozenset(
 #: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _DENSE = "\u0e00-\u0e3e\u0e40-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _TOKEN = re.compile(rf"[^\W\d_{_DENSE}]+|(?!\d)[{_DENSE}]|\d+(?:[.,]\d+)*|[%$€£°]")
-_DENSE_ONE = re.compile(f"[{_DENSE}]")
-_HEAD = 22
-#: Set in the code of a known word that is capitalised and may be a name instead.
-_EITHER = 1 << 40
+#: Codes of placeholders; words have larger ones, and this bit where they are capitalised and may be names instead.
+NUMBER, NAME, UNIT = 1, 2, 3
+_EITHER = 1 << 62
 _BASE = 0x9E3779B97F4A7C15 | 1
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+#: Forms that a process remembers.
+_REMEMBERED = 1_000_000
+
+_HIT = "k1 long, k2 long, at int, kind int, hash long, forms array<string>"
+_HIT_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32()), ("kind", pa.int32()), ("hash", pa.int64()), ("forms", pa.list_(pa.string()))])
+
+
+# ---- tokens and windows
 
 
 def tokens(text: str | None) -> list[tuple[str, str]]:
     """(form, kind) of each token; kind is ``number``, ``unit``, ``name`` (capitalised, so perhaps a name) or ``word``."""
-    out = []
-    for t in _TOKEN.findall(text or ""):
-        low = t.lower()
-        if t[0].isdigit():
-            kind = "number"
-        elif low in UNITS:
-            kind = "unit"
-        else:
-            kind = "name" if len(t) > 1 and t[0].isupper() else "word"
-        out.append((low, kind))
-    return out
+    return [(form.lower(), kind_of(form)) for form in _TOKEN.findall(text or "")]
 
 
-class Templates:
-    """Template windows of a block of items, ready for lookup."""
-
-    def __init__(self, items: list[tuple[object, str]], window: int = WINDOW):
-        self.window = window
-        self.ids = [i for i, _ in items]
-        split = [tokens(t) for _, t in items]
-        self.vocabulary = {NUMBER: 1, NAME: 2, UNIT: 3}
-        for item in split:
-            for form, kind in item:
-                if kind in ("word", "name"):
-                    self.vocabulary.setdefault(form, len(self.vocabulary) + 1)
-        self.known = _Known(self.vocabulary)
-        hashes, owners, places = [], [], []
-        self.slots, self.needed, self.lengths = [], [], []
-        # items matched whole: by their first tokens, by length, by all tokens
-        self.whole: dict[tuple, dict[int, dict[tuple, list[int]]]] = {}
-        self.whole_forms: set[str] = set()
-        for k, item in enumerate(split):
-            at, h, sure = self._windows(self._codes(item))
-            self.slots.append([form if kind != "word" else None for form, kind in item])
-            self.lengths.append(len(item))
-            # what a copy with other names can hold
-            # a character says less than a word
-            dense = 2 * sum(bool(_DENSE_ONE.match(form)) for form, _ in item) > len(item)
-            self.needed.append(min(2 * ENOUGH if dense else ENOUGH, int(np.ceil(SHARE * sure))))
-            if self.needed[-1] < FEW:
-                if item:
-                    self._add_whole(k, [form for form, _ in item])
-                continue
-            hashes.append(h)
-            owners.append(np.full(len(at), k))
-            places.append(at)
-        self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes = self.hashes[order]
-        # a bit for each head of a hash that occurs: most windows of a text are turned away by one look
-        self.heads = np.zeros(1 << _HEAD, bool)
-        self.heads[self.hashes >> np.uint64(64 - _HEAD)] = True
-        self.owners = (np.concatenate(owners) if owners else np.empty(0, int))[order]
-        self.places = (np.concatenate(places) if places else np.empty(0, int))[order]
-
-    def _add_whole(self, item: int, forms: list[str]) -> None:
-        self.whole_forms.add(forms[0])
-        lengths = self.whole.setdefault(tuple(forms[: self.window]), {})
-        lengths.setdefault(len(forms), {}).setdefault(tuple(forms), []).append(item)
-
-    def _whole_matches(self, text: str) -> list[tuple[int, int]]:
-        """(item, number of its windows, 1 at least) for each item matched whole that the text holds."""
-        forms = [t.lower() for t in _TOKEN.findall(text)]
-        found = {}
-        for p, form in enumerate(forms):
-            if form in self.whole_forms:
-                for k in range(1, self.window + 1):
-                    for length, items in self.whole.get(tuple(forms[p : p + k]), {}).items() if p + k <= len(forms) else ():
-                        for item in items.get(tuple(forms[p : p + length]), ()):
-                            found[item] = max(1, length - self.window + 1)
-        return list(found.items())
-
-    def _codes(self, item: list[tuple[str, str]]) -> np.ndarray:
-        get = self.vocabulary.get
-        name = lambda form: get(form, 0) | _EITHER if form in self.vocabulary else 2
-        typed = {"number": lambda _: 1, "unit": lambda _: 3, "name": name, "word": lambda form: get(form, 0)}
-        return np.array([typed[kind](form) for form, kind in item], np.uint64)
-
-    def _windows(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Place and hash of each whole window with at least three words beside the placeholders, under each coding
-        of its capitals; and the number of windows that have three words when every capital is a name."""
-        least = min(3, self.window)
-        n = len(code) - self.window + 1
-        if n < 1:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), 0
-        either = code >= _EITHER
-        code = np.where(either, code - np.uint64(_EITHER), code)
-        h, ok, words, plain = np.zeros(n, np.uint64), np.ones(n, bool), np.zeros(n, np.int8), np.zeros(n, np.int8)
-        used, word = code > 0, (code > 3).view(np.int8)
-        lower = word * ~either
-        for j in range(self.window):
-            h *= np.uint64(_BASE)
-            h += code[j : j + n]
-            ok &= used[j : j + n]
-            words += word[j : j + n]
-            plain += lower[j : j + n]
-        sure = int((ok & (plain >= least)).sum())
-        at = np.flatnonzero(ok & (words >= least))
-        h, words = h[at], words[at]
-        if either.any():
-            change = (np.uint64(2) - code) * either
-            for j in range(self.window):
-                other = np.flatnonzero(either[at + j] & (words > least))
-                if len(other):
-                    move = change[at[other] + j] * np.uint64(pow(_BASE, self.window - 1 - j, 1 << 64))
-                    at, h, words = np.concatenate([at, at[other]]), np.concatenate([h, h[other] + move]), np.concatenate([words, words[other] - 1])
-        return at, (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), sure
-
-    def matches(self, text: str | None) -> list[tuple[int, int]]:
-        """(item, number of its windows found together) for each item that the text holds."""
-        if not text:
-            return []
-        whole = self._whole_matches(text) if self.whole else []
-        return whole + self._template_matches(text) if len(self.hashes) else whole
-
-    def _template_matches(self, text: str) -> list[tuple[int, int]]:
-        at, h, _ = self._windows(self.text_codes(text))
-        likely = self.heads[h >> np.uint64(64 - _HEAD)]
-        at, h = at[likely], h[likely]
-        if not len(at):
-            return []
-        lo = np.searchsorted(self.hashes, h, "left")
-        hi = np.searchsorted(self.hashes, h, "right")
-        found: dict[int, set[tuple[int, int]]] = {}
-        for p, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
-            for k in range(a, b):
-                found.setdefault(int(self.owners[k]), set()).add((int(p), int(self.places[k])))
-        if not found:
-            return []
-        doc, out = tokens(text), []
-        for item, hits in found.items():
-            if len(hits) >= self.needed[item] and (n := self._together(item, sorted(hits), doc)):
-                out.append((item, n))
-        return out
-
-    def text_codes(self, text: str) -> np.ndarray:
-        """``_codes(tokens(text))`` for a whole text, with each form classified once and remembered."""
-        forms = _TOKEN.findall(text)
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        return np.fromiter(map(self.known.__getitem__, forms), np.int64, len(forms)).astype(np.uint64)
-
-    def _together(self, item: int, hits: list[tuple[int, int]], doc: list[tuple[str, str]]) -> int:
-        """The most distinct windows of the item found within twice its length, values mapping one to one; 0 if too few."""
-        need, reach = self.needed[item], 2 * self.lengths[item]
-        slots, best, first = self.slots[item], 0, 0
-        for last in range(len(hits)):
-            while hits[last][0] - hits[first][0] > reach:
-                first += 1
-            if last - first + 1 < need or (last + 1 < len(hits) and hits[last + 1][0] - hits[first][0] <= reach):
-                continue
-            there, back, places = {}, {}, set()
-            # a copy keeps its windows in step, so the commonest shifts fix the values first
-            shifts = Counter(p - q for p, q in hits[first : last + 1])
-            for p, q in sorted(hits[first : last + 1], key=lambda x: (-shifts[x[0] - x[1]], x)):
-                pairs = [(slots[q + j], doc[p + j][0]) for j in range(self.window) if slots[q + j] is not None]
-                if all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs):
-                    there.update(pairs)
-                    back.update((b, a) for a, b in pairs)
-                    places.add(q)
-            best = max(best, len(places))
-        return best if best >= need else 0
+def kind_of(form: str) -> str:
+    if form[0].isdigit():
+        return "number"
+    if form.lower() in UNITS:
+        return "unit"
+    return "name" if len(form) > 1 and form[0].isupper() else "word"
+
 
+def _word_code(low: str) -> int:
+    import xxhash
 
-class _Known(dict):
-    """The code of each form as written; a capitalised one is a name, or either if items use it."""
+    return (xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) >> 3) | 8
 
-    def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
+
+class _Typed(dict):
+    """The template code of each form as written. With a map of words, a word that is not in it has none (0), or is a name."""
+
+    def __init__(self, words: np.ndarray | None = None):
+        self.words = words
 
     def __missing__(self, form: str) -> int:
-        low = form.lower()
-        if form[0].isdigit():
-            code = 1
-        elif low in UNITS:
-            code = 3
+        kind = kind_of(form)
+        if kind in ("number", "unit"):
+            code = NUMBER if kind == "number" else UNIT
         else:
-            code = self.vocabulary.get(low, 0)
-            if len(form) > 1 and form[0].isupper():
-                code = code | _EITHER if code else 2
+            code = _word_code(form.lower())
+            if self.words is not None and not _has(self.words, np.array([word_slot(code)]))[0]:
+                code = 0
+            if kind == "name":
+                code = code | _EITHER if code else NAME
         self[form] = code
         return code
 
-    def __reduce__(self):
-        return _Known, (self.vocabulary,)
 
+class _Plain(dict):
+    """The code of each form, values included."""
 
-def _blocks(benchmark: DataFrame, id: str, text: str, block: int) -> Iterator[list[tuple[object, str]]]:
-    held = []
-    for r in benchmark.select(id, text).where(F.col(text).isNotNull() & F.col(id).isNotNull()).toLocalIterator():
-        held.append((r[0], r[1]))
-        if len(held) == block:
-            yield held
-            held = []
-    if held:
-        yield held
+    def __missing__(self, form: str) -> int:
+        self[form] = code = _word_code(form.lower())
+        return code
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks", block: int = BLOCK) -> DataFrame:
-    """``docs`` with an array of ``(item, windows)`` that each text holds; no shuffle."""
-    reach_package(docs.sparkSession)
-    kind = benchmark.schema[item_id].dataType.simpleString()
-    context = docs.sparkSession.sparkContext
-    columns = [_leaks_udf(context.broadcast(Templates(items)), kind)(F.col(text)) for items in _blocks(benchmark, item_id, item_text, block)]
-    empty = F.array().cast(_leaks_type(kind))
-    return docs.withColumn(out, F.concat(*columns) if columns else empty)
+def _codes(forms: list[str], memory: dict) -> np.ndarray:
+    if len(memory) > _REMEMBERED:
+        memory.clear()
+    return np.fromiter(map(memory.__getitem__, forms), np.int64, len(forms)).astype(np.uint64)
+
+
+def template_windows(code: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place and hash of each whole window with words enough, under each coding of its capitals; and the places of
+    windows that have words enough when every capital is a name: those that a copy with other names has too."""
+    n = len(code) - window + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    either = code >= _EITHER
+    code = np.where(either, code - np.uint64(_EITHER), code)
+    used, word = code > 0, code > UNIT
+    over = lambda flags: np.convolve(flags.astype(np.int32), np.ones(window, np.int32), "valid")
+    words, whole = over(word), over(used) == window
+    sure = np.flatnonzero(whole & (over(word & ~either) >= LEAST_WORDS))
+    at = np.flatnonzero(whole & (words >= LEAST_WORDS))
+    h, words = np.zeros(len(at), np.uint64), words[at]
+    for j in range(window):
+        h = h * np.uint64(_BASE) + code[at + j]
+    if either.any():
+        change = (np.uint64(NAME) - code) * either
+        for j in range(window):
+            other = np.flatnonzero(either[at + j] & (words > LEAST_WORDS))
+            if len(other):
+                move = change[at[other] + j] * np.uint64(pow(_BASE, window - 1 - j, 1 << 64))
+                at, h, words = np.concatenate([at, at[other]]), np.concatenate([h, h[other] + move]), np.concatenate([words, words[other] - 1])
+    return at, _mixed(h, 0), sure
+
+
+def plain_windows(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of every run of ``size`` tokens."""
+    n = max(0, len(code) - size + 1)
+    h = np.zeros(n, np.uint64)
+    for j in range(size):
+        h = h * np.uint64(_BASE) + code[j : j + n]
+    return np.arange(n), _mixed(h, size)
+
+
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    h = h * np.uint64(_BASE) + np.uint64(salt)
+    return (h ^ (h >> np.uint64(31))) * _MIX
+
 
+def word_slot(code: int) -> int:
+    return (code >> 4) & ((1 << WORD_BITS) - 1)
 
-def _leaks_type(kind: str) -> str:
-    return f"array<struct<item:{kind},windows:int>>"
 
+def _has(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots.astype(np.uint64)
+    return (bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
 
-def _leaks_udf(templates, kind: str):
-    import pandas as pd
 
-    @F.pandas_udf(_leaks_type(kind))
-    def leaks(texts: pd.Series) -> pd.Series:
-        known = templates.value
-        found = ([{"item": known.ids[i], "windows": n} for i, n in known.matches(t)] for t in texts)
-        return pd.Series([sorted(f, key=lambda x: str(x["item"])) for f in found])
+# ---- what is shuffled
 
-    return leaks
+
+def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of items: ``kind`` 0 for template windows, else the number of plain tokens in them, -1 for a word of the vocabulary.
+
+    ``forms`` are the values at the placeholders, and at capitals, of a template window; all tokens of a plain one.
+    """
+    typed, plain = _Typed(), _Plain()
+    for batch in batches:
+        out = {n: [] for n in (*_HIT_SCHEMA.names, "needed", "length")}
+        for k1, k2, text in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text"))):
+            forms = _TOKEN.findall(text)
+            if not forms:
+                continue
+            low, kinds = [f.lower() for f in forms], [kind_of(f) for f in forms]
+            code = _codes(forms, typed)
+            at, h, sure = template_windows(code)
+            # a share of the windows that renaming leaves; others would count with the names as they are, and not without
+            needed, kind = int(np.ceil(SHARE * len(sure))), 0
+            counted = np.isin(at, sure)
+            at, h = at[counted], h[counted]
+            if needed < FEW:
+                kind = min(WINDOW, len(forms))
+                at, h = plain_windows(_codes(forms, plain), kind)
+                needed = len(at)
+                values = [low[p : p + kind] for p in at]
+            else:
+                marked = [f if k != "word" else None for f, k in zip(low, kinds)]
+                values = [marked[p : p + WINDOW] for p in at]
+                words = np.unique(code[code > UNIT] & np.uint64(_EITHER - 1))
+                at, h = np.append(at, np.full(len(words), -1)), np.append(h, words)
+                values += [None] * len(words)
+            for p, x, v in zip(at.tolist(), h.view(np.int64).tolist(), values):
+                for name, value in zip(out, (k1, k2, p, kind if p >= 0 else -1, x, v, needed, len(forms))):
+                    out[name].append(value)
+        yield pa.RecordBatch.from_pydict(out, schema=_HIT_SCHEMA.append(pa.field("needed", pa.int32())).append(pa.field("length", pa.int32())))
+
+
+def _document_batches(shared):
+    """Windows of documents that may be windows of items."""
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, windows, sizes = shared.value
+        typed, plain = _Typed(words), _Plain()
+        shift = np.uint64(64 - WINDOW_BITS)
+        for batch in batches:
+            for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
+                forms = _TOKEN.findall(text.as_py())
+                found = []
+                if windows is not None and len(forms) >= WINDOW:
+                    at, h, _ = template_windows(_codes(forms, typed))
+                    found.append((0, WINDOW, at, h))
+                if sizes:
+                    code = _codes(forms, plain)
+                    found += [(size, size, *plain_windows(code, size)) for size in sizes]
+                parts = []
+                for kind, size, at, h in found:
+                    likely = _has(windows, h >> shift)
+                    if likely.any():
+                        parts.append((kind, size, at[likely], h[likely]))
+                if parts:
+                    n = sum(len(p[2]) for p in parts)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([k1.as_py()] * n, pa.int64()), pa.array([k2.as_py()] * n, pa.int64()), pa.array(np.concatenate([p[2] for p in parts]).astype(np.int32)),
+                            pa.array(np.concatenate([np.full(len(p[2]), p[0], np.int32) for p in parts])), pa.array(np.concatenate([p[3] for p in parts]).view(np.int64)),
+                            pa.array([[f.lower() for f in forms[p : p + size]] for _, size, at, _ in parts for p in at.tolist()], pa.list_(pa.string())),
+                        ],
+                        schema=_HIT_SCHEMA,
+                    )
+
+    return hits
+
+
+def _bits(slots: Column, rows: DataFrame, size: int) -> np.ndarray:
+    """A map of ``2**size`` bits with those of ``slots`` set; what reaches the driver is bounded by it, whatever the rows."""
+    words = rows.select(slots.alias("s")).select(F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b"))
+    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (size - 6), np.uint64)
+    out[table.column("w").to_numpy()] = table.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+# ---- slots
+
+
+def consistent(region: list[tuple], shift: int) -> int:
+    """How many windows of an item agree on what its values stand for, where its copy begins ``shift`` tokens into the text.
+
+    ``region`` holds ``(place in text, place in item, forms in text, values in item)``. Windows in step vote
+    on each value; those that the votes bear out count, and then others, the nearest to that step first.
+    """
+    pairs = {id(h): [(a, b) for a, b in zip(h[3], h[2]) if a is not None] for h in region}
+    votes = Counter(pair for h in region if h[0] - h[1] == shift for pair in set(pairs[id(h)]))
+    there, back = {}, {}
+    for (a, b), _ in sorted(votes.items(), key=lambda x: (-x[1], x[0])):
+        if a not in there and b not in back:
+            there[a], back[b] = b, a
+    places = set()
+    for h in sorted(region, key=lambda h: (abs(h[0] - h[1] - shift), h[0], h[1])):
+        mine = pairs[id(h)]
+        if all(there.get(a, b) == b and back.get(b, a) == a for a, b in mine) and len(set(mine)) == len({a for a, _ in mine}) == len({b for _, b in mine}):
+            there.update(mine)
+            back.update((b, a) for a, b in mine)
+            places.add(h[1])
+    return len(places)
+
+
+def held_windows(hits: list[tuple], kind: int, needed: int, length: int) -> int:
+    """The number of an item's windows that a text holds together; 0 if it does not hold the item."""
+    if kind:
+        steps = defaultdict(set)
+        for p, q, forms, values in hits:
+            if forms == values:
+                steps[p - q].add(q)
+        return needed if any(len(s) == needed for s in steps.values()) else 0
+    hits = sorted({(p, q): (p, q, forms, values) for p, q, forms, values in hits}.values(), key=lambda h: h[:2])
+    best, first, reach = 0, 0, 2 * length
+    for last in range(len(hits)):
+        while hits[last][0] - hits[first][0] > reach:
+            first += 1
+        if last + 1 < len(hits) and hits[last + 1][0] - hits[first][0] <= reach:
+            continue
+        region = hits[first : last + 1]
+        if len({h[1] for h in region}) < needed:
+            continue
+        for shift, _ in sorted(Counter(h[0] - h[1] for h in region).items(), key=lambda x: (-x[1], x[0])):
+            best = max(best, consistent(region, shift))
+            if best >= needed:
+                break
+    return best if best >= needed else 0
+
+
+def _judge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [
+            held_windows([(h["p"], h["q"], h["forms"], h["values"]) for h in hits.as_py()], kind.as_py(), needed.as_py(), length.as_py())
+            for hits, kind, needed, length in zip(*(batch.column(c) for c in ("hits", "kind", "needed", "length")))
+        ]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k1", "k2", "t1", "t2")), pa.array(found, pa.int32())], names=["k1", "k2", "t1", "t2", "windows"])
+
+
+# ---- the operator
+
+
+def _keys(text: Column) -> list[Column]:
+    """Two independent hashes that stand for a text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
+    """``(k1, k2, t1, t2, windows)``: texts of documents and of items, by their hashes, that the former hold."""
+    spark = docs.sparkSession
+    keyed = lambda df, c: df.where(F.col(c).isNotNull() & (F.col(c) != "")).select(*(k.alias(n) for k, n in zip(_keys(F.col(c)), ("k1", "k2"))), F.col(c).alias("text"))
+    items = keyed(benchmark, item_text).groupBy("k1", "k2").agg(F.min("text").alias("text"))
+    cut = materialize(items.mapInArrow(_item_batches, f"{_HIT}, needed int, length int"), "leak-items")
+    windows = cut.where("kind >= 0").select(F.col("k1").alias("t1"), F.col("k2").alias("t2"), F.col("at").alias("q"), "kind", "hash", F.col("forms").alias("values"), "needed", "length").drop_duplicates(["t1", "t2", "q", "kind", "hash"])
+    sizes = sorted(r["kind"] for r in cut.where("kind > 0").select("kind").distinct().collect())
+    word_bits = _bits(F.shiftright("hash", 4).bitwiseAND(F.lit((1 << WORD_BITS) - 1)), cut.where("kind = -1"), WORD_BITS)
+    window_bits = _bits(F.shiftrightunsigned("hash", 64 - WINDOW_BITS), cut.where("kind >= 0"), WINDOW_BITS)
+    shared = spark.sparkContext.broadcast((word_bits, window_bits, sizes))
+    hits = keyed(docs, text).mapInArrow(_document_batches(shared), _HIT)
+    hits = materialize(hits, "leak-hits").drop_duplicates(["k1", "k2", "at", "kind", "hash"])
+    hits = materialize(hits, "leak-distinct-hits")
+    often = hits.groupBy("hash").agg(F.count(F.lit(1)).alias("often"))
+    places = windows.join(often, "hash", "left").groupBy("t1", "t2", "q").agg(F.sum("often").alias("often"), F.max("needed").alias("needed"))
+    of_item = "partition by t1, t2"
+    rank, count = F.expr(f"row_number() over ({of_item} order by often nulls first, q)"), F.expr(f"count(1) over ({of_item})")
+    rare = places.withColumns({"rank": rank, "places": count}).where("rank <= places - needed + 1 and often is not null").select("t1", "t2", "q")
+    probes = materialize(windows.select("t1", "t2", "q", "kind", "hash").join(rare, ["t1", "t2", "q"]).select("t1", "t2", "kind", "hash").distinct(), "leak-probes")
+    pairs = materialize(hits.select("k1", "k2", "kind", "hash").join(probes, ["kind", "hash"]).select("k1", "k2", "t1", "t2").distinct(), "leak-pairs")
+    met = hits.join(pairs, ["k1", "k2"]).join(windows, ["t1", "t2", "kind", "hash"])
+    # the windows of one document that meet one item: bounded by the document
+    gathered = met.groupBy("k1", "k2", "t1", "t2").agg(
+        F.collect_list(F.struct(F.col("at").alias("p"), "q", "forms", "values")).alias("hits"), F.max("kind").alias("kind"), F.max("needed").alias("needed"), F.max("length").alias("length"), F.count_distinct("q").alias("found")
+    )
+    judged = gathered.where("found >= needed").drop("found").mapInArrow(_judge_batches, "k1 long, k2 long, t1 long, t2 long, windows int")
+    return judged.where("windows > 0")
+
+
+def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks") -> DataFrame:
+    """``docs`` with an array of ``(item, windows)`` that each text holds, by item.
+
+    What is found is written; documents are joined to it by plain keys, so they are shuffled only
+    where Spark finds it too large to send around.
+    """
+    out = fresh(docs, out)
+    kind = benchmark.schema[item_id].dataType.simpleString()
+    ids = benchmark.where(F.col(item_text).isNotNull()).select(*(k.alias(n) for k, n in zip(_keys(F.col(item_text)), ("t1", "t2"))), F.col(item_id).alias("item")).distinct()
+    found = materialize(matches(docs, benchmark, text, item_text), "leak-matches")
+    found = found.join(ids, ["t1", "t2"]).groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("item", "windows"))).alias("found"))
+    found = materialize(found, "leaks")
+    key = [F.coalesce(k, F.lit(0)).alias(n) for k, n in zip(_keys(F.col(text)), ("_k1", "_k2"))]
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), *key)
+    joined = rows.join(found, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
+    empty = F.array().cast(f"array<struct<item:{kind},windows:int>>")
+    return joined.select(*(F.col("_row")[c].alias(c) for c in docs.columns), F.coalesce("found", empty).alias(out))

@@ -2,7 +2,6 @@ import re
 
 import corpus_pipeline
 from silverlode.llm import mixing
-from silverlode.llm.decontaminate import Templates
 from test_simhash import brute, closure
 
 
@@ -25,8 +24,11 @@ def test_stages(spark, data):
         least[c] = min(r[0], least.get(c, r[0]))
     assert sorted(r[0] for r in rows[1]) == sorted(least.values())
 
-    known = Templates([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()])
-    assert sorted(r[0] for r in rows[2]) == sorted(r[0] for r in rows[1] if not known.matches(r[1]))
+    # plainly: the share of an item's runs of five words that a document has, all or nearly none in these tables
+    runs = lambda t: {tuple(w[i : i + 5]) for w in [re.findall(r"[^\W_]+", (t or "").lower())] for i in range(len(w) - 4)}
+    items = [runs(r["text"]) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    leaked = {r[0] for r in rows[1] if any(len(i & runs(r[1])) >= 0.8 * len(i) for i in items)}
+    assert leaked and sorted(r[0] for r in rows[2]) == sorted(r[0] for r in rows[1] if r[0] not in leaked)
 
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     sizes, taken = {}, {}

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -5,7 +6,6 @@ import numpy as np
 import pytest
 
 from silverlode.llm import decontaminate, pii, secrets, toxicity
-from silverlode.llm.decontaminate import Templates
 
 
 # ---- toxicity
@@ -65,65 +65,117 @@ ITEM = "A train travels 120 km in 3 hours while Maria walks 12 km towards the st
 FILLER = "the quick brown dog jumped over several lazy cats and kept running along the river bank until dusk came"
 
 
-def test_templates():
-    t = Templates([(1, ITEM)])
-    found = lambda text: [t.ids[i] for i, _ in t.matches(text)]
-    assert found(f"{FILLER}. {ITEM} {FILLER}") == [1]
-    assert found(f"{FILLER}. {ITEM.upper()}") == [1]
-    other = ITEM.replace("120", "90.5").replace("12 ", "7 ").replace("3 ", "2 ").replace("Maria", "Johan")
-    assert found(f"{FILLER}. {other}") == [1]
-    assert found(FILLER) == [] and found(None) == [] and found("") == []
-    assert found(ITEM[:40]) == []
+def leaks(spark, items, texts):
+    """For each text, the items it holds."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    got = {r["doc_id"]: [x["item"] for x in r["leaks"]] for r in decontaminate.with_leaks(docs, bench).collect()}
+    return [got[i] for i in range(len(texts))]
 
 
-def test_codes_of_texts_are_those_of_their_tokens():
-    rng = random.Random(12)
-    t = Templates([(1, ITEM), (2, "Name the hours. Of 5% and KM?")])
-    parts = ["Maria", "maria", "A", "a", "train", "Train", "TRAIN", "Zoë", "zoë", "5", "5.5", "1,000", "km", "Km", "%", ".", "!?", "\n", " ", " ", "-", "_", "x1", "Ünder", "İ", "ß", "ǅa", "٣", "²"]
-    for _ in range(5000):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
-        assert list(t.text_codes(text)) == list(t._codes(decontaminate.tokens(text))), text
+def test_templates(spark):
+    other = ITEM.replace("120", "90.5").replace("12 ", "7 ").replace("3 ", "2 ").replace("Maria", "Johan")
+    held = [f"{FILLER}. {ITEM} {FILLER}", f"{FILLER}. {ITEM.upper()}", f"{FILLER}. {other}"]
+    assert leaks(spark, [(1, ITEM)], [*held, FILLER, None, "", ITEM[:40]]) == [[1]] * 3 + [[]] * 4
+
+
+def brute_windows(text):
+    """Windows of a text, spelled out: each coding of each capital, three words at least."""
+    out = {}
+    toks = decontaminate.tokens(text)
+    for p in range(len(toks) - 4):
+        options = [{"number": ["#"], "unit": ["@"], "word": [f], "name": [f, "^"]}[k] for f, k in toks[p : p + 5]]
+        for w in itertools.product(*options):
+            if sum(x not in "#@^" for x in w) >= 3:
+                out.setdefault(w, set()).add(p)
+    return out
 
 
-def test_names_are_judged_without_the_other_items():
+def test_windows_meet_as_they_do_spelled_out():
+    """Two texts share windows by hash exactly where they share them as sequences, with and without a map of words."""
+    rng = random.Random(12)
+    parts = ["Maria", "maria", "A", "a", "train", "Train", "TRAIN", "Zoë", "zoë", "5", "5.5", "1,000", "km", "Km", "%", "Ünder", "İ", "ß", "ǅa", "٣", "house", "goes", "by"]
+    for _ in range(400):
+        one, two = (" ".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(2))
+        words = np.zeros(1 << (decontaminate.WORD_BITS - 6), np.uint64)
+        for form, kind in decontaminate.tokens(one):
+            slot = decontaminate.word_slot(decontaminate._word_code(form))
+            words[slot >> 6] |= np.uint64(1 << (slot & 63))
+        found = []
+        for text, memory in ((one, decontaminate._Typed()), (two, decontaminate._Typed(words))):
+            at, h, _ = decontaminate.template_windows(decontaminate._codes(decontaminate._TOKEN.findall(text), memory))
+            found.append({(int(x), int(p)) for p, x in zip(at, h)})
+        want = {(p, q) for w, ps in brute_windows(one).items() for p in ps for q in brute_windows(two).get(w, ())}
+        assert {(p, q) for x, p in found[0] for y, q in found[1] if x == y} == want
+
+
+def test_names_are_judged_without_the_other_items(spark):
     item = "Tom gives 3 apples to Ann. Ann then gives 2 apples to Tom. How many apples has Tom left?"
     other = item.replace("Tom", "Bob").replace("Ann", "Sue").replace("3", "8").replace("2", "5")
     inside = "In the morning Tom walks 3 blocks with Ann towards the park and then they walk 2 more blocks home."
-    for items in ([(1, item)], [(1, item), (2, inside)], [(2, inside), (1, item)]):
-        t = Templates(items)
-        found = lambda text: [t.ids[i] for i, _ in t.matches(text)]
-        assert found(f"{FILLER}. {other} {FILLER}") == found(item) == found(item.lower()) == found(item.upper()) == found(item.title()) == [1]
-        assert found(other.replace("to Bob", "to Max").replace("has Bob", "has Joe")) == []
-    t = Templates([(2, inside), (1, item)])
-    assert [t.ids[i] for i, _ in t.matches(inside.replace("Tom", "Bob").replace("Ann", "Sue"))] == [2]
-
-
-def test_items_of_few_windows_match_whole():
-    items = [(1, "12 + 7 * 3 - 4 = 29 mod 5"), (2, "He was born in 1990."), (3, "two plus two"), (4, "東京タワーの高さは333メートルです。完成したのは何年ですか"), (5, "日本の首都は"), (6, "+ = ?"), (7, "ประเทศไทย")]
-    t = Templates(items)
-    found = lambda text: sorted(t.ids[i] for i, _ in t.matches(text))
-    for i, text in items:
-        assert found(f"{FILLER}. {text} {FILLER}") == ([] if i == 6 else [i])
-    assert found("He was born in 1985. 12 + 7 * 3 - 4 = 29 mod 6. Two plus three.") == []
-    assert found("問題日本の首都は東京です") == [5] and found("そして東京タワーの高さは250メートルです。完成したのは何年ですかと聞く") == [4]
-    assert found("He was born in 1990") == [2] and found("two plus two") == [3] and found("two plus") == [] == found("日本の首")
-
-
-def test_slots_have_to_agree():
+    texts = [f"{FILLER}. {other} {FILLER}", item, item.lower(), item.upper(), item.title(), other.replace("to Bob", "to Max").replace("has Bob", "has Joe")]
+    for items in ([(1, item)], [(1, item), (2, inside)]):
+        assert leaks(spark, items, texts) == [[1]] * 5 + [[]]
+    assert leaks(spark, [(2, inside), (1, item)], [inside.replace("Tom", "Bob").replace("Ann", "Sue")]) == [[2]]
+
+
+def test_items_of_few_windows_match_whole(spark):
+    items = [(1, "12 + 7 * 3 - 4 = 29 mod 5"), (2, "He was born in 1990."), (3, "two plus two"), (4, "東京タワーの高さは333メートルです。完成したのは何年ですか"), (5, "日本の首都は"), (6, "+ = ?"), (7, "ประเทศไทย"), (8, "Add 3 km to 4 km and 5 km: 12 km?"), (9, "7 + 8 kg minus 9 kg equals 5 kg and 6 km")]
+    verbatim = [f"{FILLER}. {text} {FILLER}" for _, text in items]
+    others = {
+        "He was born in 1985. 12 + 7 * 3 - 4 = 29 mod 6. Two plus three.": [], "問題日本の首都は東京です": [5], "そして東京タワーの高さは250メートルです。完成したのは何年ですかと聞く": [4], "He was born in 1990": [2], "two plus two": [3],
+        "two plus": [], "日本の首": [], "Add 3 km to 4 km and 5 km": [], "two plus three plus two": [],
+    }
+    assert leaks(spark, items, [*verbatim, *others]) == [[i] if i != 6 else [] for i, _ in items] + list(others.values())
+
+
+def test_slots_have_to_agree_wherever_chance_windows_stand(spark):
     item = "Take 5 apples and 5 pears then add 5 plums to the bowl and eat 5 of them before noon on sunday"
-    t = Templates([(1, item)])
-    assert t.matches(item.replace("5", "8"))
     mixed = item.replace("5 apples", "1 apples").replace("5 pears", "2 pears").replace("5 plums", "3 plums").replace("5 of", "4 of")
-    assert not t.matches(mixed)
+    copy, decoy = item.replace("5", "8"), "Take 3 apples and 3 pears."
+    assert leaks(spark, [(1, item)], [copy, mixed, f"{decoy} {copy}", f"{copy} {decoy}", f"{decoy} {copy} {decoy}", decoy]) == [[1], [], [1], [1], [1], []]
+    two = "Add 7 red tiles to 9 blue tiles and then take 7 green tiles from the 9 that were left on the floor"
+    same = two.replace("7", "4").replace("9", "4")
+    assert leaks(spark, [(1, two)], [two.replace("7", "2").replace("9", "6"), same]) == [[1], []]
+
+
+def test_a_share_of_a_long_item_is_needed(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(300)]
+    bend = [w if i % 60 else "odd" for i, w in enumerate(words)]
+    assert leaks(spark, [(1, " ".join(words))], [" ".join(words[50:62]), " ".join(words[:200]), " ".join(bend), f"{FILLER} {' '.join(words[:285])}"]) == [[], [], [1], [1]]
+
+
+def test_planted_variants_are_found_and_mixtures_are_not(spark):
+    """By construction: values exchanged one for one are a leak; values exchanged each time anew are none."""
+    rng = random.Random(4)
+    verbs, nouns = "counts buys paints loses finds packs".split(), "boxes lamps coins cards tents bolts".split()
+    items, texts, want = [], [], []
+    for i in range(30):
+        parts = [f"{rng.choice(['Lena', 'Omar', 'Ines'])} {rng.choice(verbs)} {rng.randint(10, 99)} {rng.choice(nouns)} item{i} before the next {rng.choice(nouns)} come in" for _ in range(4)]
+        items.append((i, ". ".join(parts)))
+        number, name = {}, {}
+        swap = lambda m: str(number.setdefault(m[0], 100 + 7 * len(number) + rng.randint(0, 6)))
+        rename = lambda m: name.setdefault(m[0], ["Petra", "Hugo", "Zara", ""][len(name)])
+        texts.append(f"{FILLER}. " * rng.randint(0, 3) + re.sub("Lena|Omar|Ines", rename, re.sub(r"\b\d\d\b", swap, items[-1][1])) + f" {FILLER}")
+        want.append([i])
+        thrice = re.sub(r"\b\d\d\b", "11", items[-1][1])
+        texts.append(re.sub(r"\b11\b", lambda m: str(rng.randint(1000, 9999)), thrice) if len(set(re.findall(r"\b\d\d\b", items[-1][1]))) < 3 else FILLER)
+        want.append([])
+    assert leaks(spark, items, texts) == want
 
 
 def test_leaks_column(spark):
-    docs = spark.createDataFrame([(1, f"{FILLER} {ITEM}", "a"), (2, FILLER, "b"), (3, None, None), (4, "", "c"), (1, f"{FILLER} {ITEM}", "a"), (6, f"{FILLER} " * 4000 + ITEM, "z")], "doc_id bigint, text string, leaks string").drop("leaks")
-    bench = spark.createDataFrame([(10, ITEM), (11, ITEM), (12, None), (13, ""), (14, "too short")], "item_id bigint, text string")
-    for block in (1, 100):
-        got = {r["doc_id"]: sorted(x["item"] for x in r["leaks"]) for r in decontaminate.with_leaks(docs, bench, block=block).collect()}
-        assert got == {1: [10, 11], 2: [], 3: [], 4: [], 6: [10, 11]}
-    assert decontaminate.with_leaks(docs, bench.limit(0)).where("size(leaks) > 0").count() == 0
+    rows = [(1, f"{FILLER} {ITEM}", "a"), (2, FILLER, "b"), (3, None, None), (4, "", "c"), (1, f"{FILLER} {ITEM}", "a"), (6, f"{FILLER} " * 4000 + ITEM, "z"), (None, ITEM, "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, Leaks string")
+    bench = spark.createDataFrame([(10, ITEM), (11, ITEM), (11, ITEM), (12, None), (13, ""), (None, "never once in these documents"), (None, f"{FILLER.title()} again")], "item_id bigint, text string")
+    out = decontaminate.with_leaks(docs, bench)
+    assert out.columns == ["doc_id", "text", "Leaks", "leaks_"]
+    got = sorted((r["doc_id"] or 0, r["Leaks"] or "", [x["item"] for x in r["leaks_"]]) for r in out.collect())
+    assert got == [(0, "n", [10, 11]), (1, "a", [10, 11]), (1, "a", [10, 11]), (2, "b", []), (3, "", []), (4, "c", []), (6, "z", [10, 11])]
+    lost = decontaminate.with_leaks(docs, spark.createDataFrame([(None, FILLER)], "item_id bigint, text string")).where("doc_id = 2").first()
+    assert [x["item"] for x in lost["leaks_"]] == [None]
+    assert decontaminate.with_leaks(docs, bench.limit(0)).where("size(leaks_) > 0").count() == 0
     assert decontaminate.with_leaks(docs.limit(0), bench).count() == 0
 
 
