@@ -55,6 +55,9 @@ UNITS = frozenset(
 #: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _DENSE = "\u0e00-\u0e3e\u0e40-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _TOKEN = re.compile(rf"[^\W\d_{_DENSE}]+|(?!\d)[{_DENSE}]|\d+(?:[.,]\d+)*|[%$€£°]")
+#: The same where no letter is of a script without spaces, and where all is ASCII.
+_SPACED, _ASCII = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£°]"), re.compile(r"[A-Za-z]+|[0-9]+(?:[.,][0-9]+)*|[%$]")
+_BEYOND = re.compile("[\u0e00-\U0010ffff]")
 #: Codes of placeholders; words have larger ones, and this bit where they are capitalised and may be names instead.
 NUMBER, NAME, UNIT = 1, 2, 3
 _EITHER = 1 << 62
@@ -62,6 +65,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Forms that a process remembers.
 _REMEMBERED = 1_000_000
+#: Tokens of documents that are looked up at once.
+_TOGETHER = 100_000
 
 _HIT = "k1 long, k2 long, at int, kind int, hash long, forms array<string>"
 _HIT_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32()), ("kind", pa.int32()), ("hash", pa.int64()), ("forms", pa.list_(pa.string()))])
@@ -70,9 +75,15 @@ _HIT_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32
 # ---- tokens and windows
 
 
+def forms_of(text: str) -> list[str]:
+    """The tokens of a text as written."""
+    pattern = _ASCII if text.isascii() else _TOKEN if _BEYOND.search(text) else _SPACED
+    return pattern.findall(text)
+
+
 def tokens(text: str | None) -> list[tuple[str, str]]:
     """(form, kind) of each token; kind is ``number``, ``unit``, ``name`` (capitalised, so perhaps a name) or ``word``."""
-    return [(form.lower(), kind_of(form)) for form in _TOKEN.findall(text or "")]
+    return [(form.lower(), kind_of(form)) for form in forms_of(text or "")]
 
 
 def kind_of(form: str) -> str:
@@ -92,7 +103,7 @@ def _word_code(low: str) -> int:
 class _Typed(dict):
     """The template code of each form as written. With a map of words, a word that is not in it has none (0), or is a name."""
 
-    def __init__(self, words: np.ndarray | None = None):
+    def __init__(self, words: bytes | None = None):
         self.words = words
 
     def __missing__(self, form: str) -> int:
@@ -101,7 +112,8 @@ class _Typed(dict):
             code = NUMBER if kind == "number" else UNIT
         else:
             code = _word_code(form.lower())
-            if self.words is not None and not _has(self.words, np.array([word_slot(code)]))[0]:
+            slot = word_slot(code)
+            if self.words is not None and not self.words[slot >> 3] >> (slot & 7) & 1:
                 code = 0
             if kind == "name":
                 code = code | _EITHER if code else NAME
@@ -132,9 +144,8 @@ def template_windows(code: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray
     either = code >= _EITHER
     code = np.where(either, code - np.uint64(_EITHER), code)
     used, word = code > 0, code > UNIT
-    over = lambda flags: np.convolve(flags.astype(np.int32), np.ones(window, np.int32), "valid")
-    words, whole = over(word), over(used) == window
-    sure = np.flatnonzero(whole & (over(word & ~either) >= LEAST_WORDS))
+    words, whole, lower = _over(word, n), _over(used, n) == window, _over(word & ~either, n)
+    sure = np.flatnonzero(whole & (lower >= LEAST_WORDS))
     at = np.flatnonzero(whole & (words >= LEAST_WORDS))
     h, words = np.zeros(len(at), np.uint64), words[at]
     for j in range(window):
@@ -149,6 +160,15 @@ def template_windows(code: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray
     return at, _mixed(h, 0), sure
 
 
+def _over(flags: np.ndarray, n: int) -> np.ndarray:
+    """How many of the flags each of ``n`` windows holds."""
+    flags = flags.view(np.int8)
+    out = np.zeros(n, np.int8)
+    for j in range(len(flags) - n + 1):
+        out += flags[j : j + n]
+    return out
+
+
 def plain_windows(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Place and hash of every run of ``size`` tokens."""
     n = max(0, len(code) - size + 1)
@@ -184,7 +204,7 @@ def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         out = {n: [] for n in (*_HIT_SCHEMA.names, "needed", "length")}
         for k1, k2, text in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text"))):
-            forms = _TOKEN.findall(text)
+            forms = forms_of(text)
             if not forms:
                 continue
             low, kinds = [f.lower() for f in forms], [kind_of(f) for f in forms]
@@ -216,33 +236,42 @@ def _document_batches(shared):
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, windows, sizes = shared.value
-        typed, plain = _Typed(words), _Plain()
-        shift = np.uint64(64 - WINDOW_BITS)
+        typed, plain, shift = _Typed(words.tobytes()), _Plain(), np.uint64(64 - WINDOW_BITS)
+
+        def look_up(keys: list[tuple[int, int]], ends: list[int], forms: list[str]) -> pa.RecordBatch | None:
+            """Texts laid end to end, so that arrays are long; windows across two of them do not count."""
+            cut = [(0, WINDOW, *template_windows(_codes(forms, typed))[:2])]
+            if sizes:
+                code = _codes(forms, plain)
+                cut += [(size, size, *plain_windows(code, size)) for size in sizes]
+            stop, start, parts = np.array(ends), np.array([0, *ends[:-1]]), []
+            for kind, size, at, h in cut:
+                likely = _has(windows, h >> shift)
+                at, h = at[likely], h[likely]
+                of = np.searchsorted(stop, at, "right")
+                inside = at + size <= stop[of]
+                parts.append((at[inside], h[inside], of[inside], np.full(int(inside.sum()), kind, np.int32), np.full(int(inside.sum()), size)))
+            at, h, of, kind, size = (np.concatenate(c) for c in zip(*parts))
+            if not len(at):
+                return None
+            key = np.array(keys, np.int64)[of]
+            values = [[f.lower() for f in forms[p : p + n]] for p, n in zip(at.tolist(), size.tolist())]
+            return pa.RecordBatch.from_arrays([pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array((at - start[of]).astype(np.int32)), pa.array(kind), pa.array(h.view(np.int64)), pa.array(values, pa.list_(pa.string()))], schema=_HIT_SCHEMA)
+
         for batch in batches:
-            for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text"))):
-                forms = _TOKEN.findall(text.as_py())
-                found = []
-                if windows is not None and len(forms) >= WINDOW:
-                    at, h, _ = template_windows(_codes(forms, typed))
-                    found.append((0, WINDOW, at, h))
-                if sizes:
-                    code = _codes(forms, plain)
-                    found += [(size, size, *plain_windows(code, size)) for size in sizes]
-                parts = []
-                for kind, size, at, h in found:
-                    likely = _has(windows, h >> shift)
-                    if likely.any():
-                        parts.append((kind, size, at[likely], h[likely]))
-                if parts:
-                    n = sum(len(p[2]) for p in parts)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([k1.as_py()] * n, pa.int64()), pa.array([k2.as_py()] * n, pa.int64()), pa.array(np.concatenate([p[2] for p in parts]).astype(np.int32)),
-                            pa.array(np.concatenate([np.full(len(p[2]), p[0], np.int32) for p in parts])), pa.array(np.concatenate([p[3] for p in parts]).view(np.int64)),
-                            pa.array([[f.lower() for f in forms[p : p + size]] for _, size, at, _ in parts for p in at.tolist()], pa.list_(pa.string())),
-                        ],
-                        schema=_HIT_SCHEMA,
-                    )
+            keys, ends, forms = [], [], []
+            for k1, k2, text in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("text")):
+                found = forms_of(text.as_py())
+                if found:
+                    forms += found
+                    keys.append((k1, k2))
+                    ends.append(len(forms))
+                if len(forms) > _TOGETHER:
+                    if (out := look_up(keys, ends, forms)) is not None:
+                        yield out
+                    keys, ends, forms = [], [], []
+            if forms and (out := look_up(keys, ends, forms)) is not None:
+                yield out
 
     return hits
 
