@@ -6,10 +6,12 @@ chooses boundaries and types together. It is fitted on regions whose patterns ar
 regions with the known spans rewritten in other usual forms, and on look-alikes that are no such data.
 
 Cases, by definition: a null or empty text has no spans; whole texts are read, in time linear in
-their length for the patterns; with no known span in the sample nothing is added; repeated rows have
-the same spans; extra columns are left alone; offsets count code points.
+their length; an entity of more than ``LONGEST`` pieces or ``LONGEST_TEXT`` characters is beyond the
+field (not the patterns); with no known span in the sample nothing is added; repeated rows have the same
+spans; extra columns stay; offsets count code points.
 """
 
+import itertools
 import math
 import random
 import re
@@ -20,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spans import SAMPLE, Span, digest, joined, overlaps, sampled
+from .spans import SAMPLE, Covered, Span, digest, joined, sampled
+from .store import fresh
 
 #: Fixed values, in this order.
 KINDS = ("email", "ip", "card", "phone")
@@ -30,8 +33,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-#: Pieces in a segment at most, regions fitted on at most, passes over them.
-LONGEST = 16
+#: Bounds of an entity: pieces (an address spelled out with six words takes 23), and characters.
+LONGEST, LONGEST_TEXT = 24, 320
+#: Regions of each kind fitted on at most, passes over them.
 REGIONS, PASSES, RATE, L2 = 240, 4, 0.3, 1e-3
 #: A segment is added if its score beats that of reading its pieces as other text by this.
 MARGIN = 2.0
@@ -133,6 +137,20 @@ def features(kind: int, s: str, before: str, after: str) -> list[tuple]:
     return out
 
 
+#: Digits of each numeric kind, at least and at most.
+_COUNTS = {1: (4, 12), 2: (16, 19), 3: (10, 15)}
+
+
+def _sort(piece: str) -> str:
+    """``a`` letters, ``9`` digits, ``s`` space, ``n`` space with a line end, ``@`` a sign or word for it, else ``.``."""
+    c = piece[0]
+    if c.isspace():
+        return "n" if "\n" in piece else "s"
+    if c == "@" or len(piece) == 2 and piece.lower() == "at":
+        return "@"
+    return "9" if "0" <= c <= "9" else "a" if c.isascii() and c.isalpha() else "."
+
+
 class SemiMarkov:
     """Weights of segment features and the lattice that they score; state None is other text."""
 
@@ -140,19 +158,45 @@ class SemiMarkov:
         self.weights = weights or {}
 
     def lattice(self, text: str) -> tuple[list[int], list[tuple[int, int, int, list]]]:
-        """Ends of pieces, and the segments (from piece, to piece, kind, features) that may be entities."""
-        cuts = [0, *(m.end() for m in _PIECE.finditer(text))]
+        """Ends of pieces, and the segments (from piece, to piece, kind, features) that may be entities.
+
+        What a segment holds is counted as it grows, and it is looked at only where the counts allow a kind,
+        so the work is in proportion to the text.
+        """
+        pieces = _PIECE.findall(text)
+        cuts, at = [0], 0
+        for p in pieces:
+            at += len(p)
+            cuts.append(at)
+        sort = [_sort(p) for p in pieces]
+        # the next sign of an address at or after each piece
+        sign, ahead = [0] * len(pieces), len(pieces)
+        for i in range(len(pieces) - 1, -1, -1):
+            ahead = i if sort[i] == "@" else ahead
+            sign[i] = ahead
         out = []
-        for i in range(len(cuts) - 1):
-            if text[cuts[i]].isspace():
+        for i, first in enumerate(sort):
+            if first in "sn":
                 continue
-            for j in range(i + 1, min(i + LONGEST, len(cuts) - 1) + 1):
-                s = text[cuts[i] : cuts[j]]
-                if "\n" in s:
+            address, number = first in "a9@" and sign[i] < i + LONGEST, first == "9" or pieces[i] in "+("
+            digits = 0
+            for j in range(i, min(i + LONGEST, len(pieces))):
+                s = sort[j]
+                if s == "n" or cuts[j + 1] - cuts[i] > LONGEST_TEXT:
+                    break
+                if s == "9":
+                    digits += len(pieces[j])
+                    number = number and digits <= 19
+                elif s in "a@":
+                    number = False
+                if not address and not number:
                     break
-                for kind in range(len(KINDS)):
-                    if plausible(kind, s):
-                        out.append((i, j, kind, features(kind, s, text[: cuts[i]][-32:], text[cuts[j] :][:4])))
+                kinds = ((0,) if address and s in "a@" and sign[i] <= j else ()) + ((1, 2, 3) if number and s == "9" and digits >= 4 else ())
+                for kind in kinds:
+                    if kind == 0 or _COUNTS[kind][0] <= digits <= _COUNTS[kind][1]:
+                        span = text[cuts[i] : cuts[j + 1]]
+                        if plausible(kind, span):
+                            out.append((i, j + 1, kind, features(kind, span, text[max(0, cuts[i] - 32) : cuts[i]], text[cuts[j + 1] : cuts[j + 1] + 4])))
         return cuts, out
 
     def score(self, found: list) -> float:
@@ -258,13 +302,12 @@ def fit(known: list[tuple[str, list[Span]]], seed: int = 7) -> SemiMarkov:
 def added_spans(text: str | None, base: list[Span], model: SemiMarkov) -> list[Span]:
     if not text or not model.weights:
         return []
-    out = []
+    out, covered = [], Covered(base)
     for a, b in regions(text):
-        here = [s for s in base if s[1] < b and a < s[2]]
-        if here and all(overlaps(a + m.start(), a + m.end(), here) for m in _TRIGGER.finditer(text[a:b])):
+        if all(covered.meets(m.start(), m.end()) for m in _TRIGGER.finditer(text, a, b)):
             continue  # nothing but known spans could start an entity here
         for kind, s, e, score in model.best(text[a:b]):
-            if score > MARGIN and not overlaps(a + s, a + e, base):
+            if score > MARGIN and not covered.meets(a + s, a + e):
                 out.append((kind, a + s, a + e))
     return sorted(set(out))
 
@@ -274,8 +317,11 @@ def _known_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         texts, kinds, starts, ends, ids = [], [], [], [], []
         for id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
             base = base_spans(text)
+            ordered, first = sorted(base, key=lambda s: s[1:]), 0
             for a, b in regions(text):
-                here = [s for s in base if a <= s[1] and s[2] <= b]
+                while first < len(ordered) and ordered[first][1] < a:
+                    first += 1
+                here = sorted(s for s in itertools.takewhile(lambda s, b=b: s[1] < b, itertools.islice(ordered, first, None)) if s[2] <= b)
                 texts.append(text[a:b])
                 ids.append(f"{id}:{a}")
                 kinds.append([k for k, _, _ in here])
@@ -285,7 +331,7 @@ def _known_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE, limit: int = REGIONS) -> SemiMarkov:
-    """Fit on ``limit`` regions of the sample with known spans, and as many without, in hash order."""
+    """Fit on ``limit`` regions of the sample with known spans, and as many without, in hash order; regions of up to ``8 * _REACH`` characters."""
     found = sampled(docs, id, text, sample).mapInArrow(_known_batches, "id string, text string, kinds array<int>, starts array<int>, ends array<int>")
     found = found.where(F.length("text") <= 8 * _REACH)
     order = F.xxhash64("id"), F.col("id")
@@ -312,5 +358,5 @@ def span_udf(model: SemiMarkov):
 
 
 def with_spans(df: DataFrame, model: SemiMarkov, text: str = "text", out: str = "pii") -> DataFrame:
-    """``df`` with a struct of counts, digest and spans; no shuffle."""
-    return df.withColumn(out, span_udf(model)(F.col(text)))
+    """``df`` with a struct of counts, digest and spans, named ``out`` or that and underscores where a column is so named; no shuffle."""
+    return df.withColumn(fresh(df, out), span_udf(model)(F.col(text)))

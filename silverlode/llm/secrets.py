@@ -5,8 +5,7 @@ finds no difference between their continuations; every other candidate token is
 likelihood in each automaton against that of an ordinary token, and added where the format wins.
 
 Cases, by definition: a null or empty text has no spans; whole texts are read; a kind with too few
-examples has no automaton and adds nothing; repeated rows have the same spans; extra columns are left
-alone; offsets count code points; a token of six characters or more, with digits or without, is scored whole.
+examples has no automaton and adds nothing; repeated rows have the same spans; extra columns stay; offsets count code points; a token of six characters or more, with digits or without, is scored whole.
 """
 
 import math
@@ -18,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spans import SAMPLE, Span, digest, joined, overlaps, sampled
+from .spans import SAMPLE, Covered, Span, digest, joined, sampled
+from .store import fresh
 
 #: Fixed values, in this order.
 KINDS = ("assign", "access", "hex")
@@ -28,10 +28,13 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 #: Candidates: the alphabet and least length of an assigned credential.
 LEAST = 6
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
+_ORDINARY = re.compile(r"[A-Za-z0-9+/_=.-]{4,}")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Labelled credentials of a kind that an automaton is inferred from: at most and at least; ordinary tokens at most.
 EXAMPLES, ENOUGH, ORDINARY = 300, 12, 4000
+#: Characters of a labelled credential or ordinary token that the fit takes, whole; longer ones are not fitted on, yet scored.
+LONGEST = 512
 ALPHA = 0.05
 #: Mean gain per character, in nats, of a format over an ordinary token.
 MARGIN = 0.8
@@ -183,13 +186,13 @@ class Formats:
 def added_spans(text: str | None, base: list[Span], formats: Formats) -> list[Span]:
     if not text or not formats.automata:
         return []
-    out = []
+    out, covered = [], Covered(base)
     for m in _TOKEN.finditer(text):
         token = m[0].strip("._=/+-")
         if len(token) < LEAST or (kind := formats.recall(token)) is None:
             continue
         start = m.start() + m[0].index(token)
-        if not overlaps(start, start + len(token), base):
+        if not covered.meets(start, start + len(token)):
             out.append((kind, start, start + len(token)))
     return out
 
@@ -208,12 +211,13 @@ def _known_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         kinds, values, words = [], [], set()
         for text in batch.column("text").to_pylist():
             base = _base(text)
-            spans = [s for s, _ in base]
+            covered = Covered([s for s, _ in base])
             for (k, _, _), value in base:
-                kinds.append(k)
-                values.append(value[:200])
-            for m in re.finditer(r"[A-Za-z0-9+/_=.-]{4,200}", text):
-                if overlaps(m.start(), m.end(), spans):
+                if len(value) <= LONGEST:
+                    kinds.append(k)
+                    values.append(value)
+            for m in _ORDINARY.finditer(text):
+                if len(m[0]) > LONGEST or covered.meets(m.start(), m.end()):
                     continue
                 if len(m[0]) >= 12 or _DIGIT.search(m[0]):
                     kinds.append(-1)
@@ -256,5 +260,5 @@ def span_udf(formats: Formats):
 
 
 def with_spans(df: DataFrame, formats: Formats, text: str = "text", out: str = "secrets") -> DataFrame:
-    """``df`` with a struct of counts, digest and spans; no shuffle."""
-    return df.withColumn(out, span_udf(formats)(F.col(text)))
+    """``df`` with a struct of counts, digest and spans, named ``out`` or that and underscores where a column is so named; no shuffle."""
+    return df.withColumn(fresh(df, out), span_udf(formats)(F.col(text)))

@@ -1,6 +1,7 @@
 """What the two span finders share: a bounded sample of documents and the digest of spans."""
 
 import hashlib
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,5 +30,20 @@ def digest(spans: list[Span], kinds: tuple[str, ...]) -> str:
     return hashlib.sha256(joined(spans, kinds).encode()).hexdigest()
 
 
-def overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(start < b and a < end for _, a, b in spans)
+class Covered:
+    """The stretches that spans cover, merged and in order, so that each question is a binary search."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted((a, b) for _, a, b in spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether any span shares a character with ``[start, end)``."""
+        at = bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
