@@ -11,6 +11,12 @@ threshold angle of its centre, and by the triangle inequality all they can link
 Each core is compared whole with itself and with those rows, exactly; only pairs of rows outside all
 cores are left to the forest.
 
+Leaves are made for the rows of the commonest label, as only rows of one label are compared. The sample
+bounds how fine the fitted trees can be, so a leaf that holds more rows of a label than a bound is split
+again at quantiles of its own rows, round after round, in tables: what is compared together stays
+bounded however many rows there are, and nothing that grows reaches the driver. A leaf that no direction
+splits is dense, and is compared whole, in blocks.
+
 Cases, by definition: a vector that is null, empty, zero or holds null, NaN or infinite components, or
 whose label is null, links with nothing and is its own component; equal vectors of one label are
 linked, counted by their number and compared once; repeated ids are rows like others; null ids take
@@ -26,12 +32,15 @@ from .components import connected_components
 from .store import materialize
 
 THRESHOLD = 0.93
-TREES = 6
-LEAF = 1024
+TREES = 4
+#: Rows of one label in a leaf, about; a leaf of more than the second number is split again.
+LEAF, MOST = 1024, 8192
 SPILL = 0.06
 #: Bounds of the sample that the forest is fitted on: rows, and numbers in them.
 SAMPLE, SAMPLE_VALUES = 20_000, 4_000_000
 LEAST_NODE = 16
+#: Lengths of vectors that trees are fitted for; others begin as one leaf, split like any that is too large.
+FITTED = 64
 #: A leaf of more rows is compared as pairs of blocks of this many.
 BLOCK = 4096
 #: Rows that are multiplied at once.
@@ -177,15 +186,23 @@ def _valid(vector: str):
     return F.coalesce(fine & F.exists(kind, lambda v: v != 0), F.lit(False))
 
 
-def embedding_components(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+def _node_key(label: str, vector: str):
+    """A hash of label and vector; the label's length goes first, so that no label can run into the numbers."""
+    name = F.col(label).cast("string")
+    return F.md5(F.concat(F.length(name).cast("string"), F.lit(":"), name, F.lit(":"), F.array_join(F.col(vector).cast("array<string>"), ",")))
+
+
+def embedding_components(
+    df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, leaf: int = LEAF, block: int = BLOCK, sample: int = SAMPLE, most: int = MOST
+) -> DataFrame:
     """One row per row of ``df``: ``(id, n_links, component_id)``."""
-    key = F.when(_valid(vector) & F.col(label).isNotNull(), F.md5(F.concat_ws(",", F.col(label).cast("string"), F.col(vector).cast("array<string>"))))
+    key = F.when(_valid(vector) & F.col(label).isNotNull(), _node_key(label, vector))
     # floats travel as floats; they turn into doubles, exactly, where they are compared
     kept = F.col(vector) if df.schema[vector].dataType.simpleString() == "array<float>" else F.col(vector).cast("array<double>")
     rows = df.select(F.col(id).alias("id"), key.alias("node"), F.col(label).cast("string").alias("label"), kept.alias("v"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.any_value("label").alias("label"), F.any_value("v").alias("v"))
     nodes = materialize(nodes, "embedding-nodes")
-    found = materialize(_links(nodes, threshold, leaf, block), "embedding-links")
+    found = materialize(_links(nodes, threshold, leaf, block, sample, most), "embedding-links")
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = connected_components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     labels = labels.select(F.col("node").alias("_node"), F.col("root"))
@@ -200,27 +217,29 @@ def embedding_components(df: DataFrame, id: str = "vec_id", vector: str = "embed
     return out.select("id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"))
 
 
-def _links(nodes: DataFrame, threshold: float, leaf: int, block: int) -> DataFrame:
+def _links(nodes: DataFrame, threshold: float, leaf: int, block: int, sample: int, most: int) -> DataFrame:
     """``(node, links, root)`` of every leaf of every node."""
     spark = nodes.sparkSession
-    shape = nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(64).collect()
+    shape = nodes.groupBy(F.size("v").alias("d"), "label").agg(F.count(F.lit(1)).alias("n")).groupBy("d").agg(F.sum("n").alias("n"), F.max("n").alias("most")).orderBy(F.desc("n"), "d").limit(FITTED).collect()
     forests, base = {}, 0
     for r in shape:
-        size = max(1, min(SAMPLE, SAMPLE_VALUES // r["d"]))
-        sample = nodes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("node"), "node").select("v").limit(size).collect()
-        x = unit(np.array([s["v"] for s in sample], np.float64))
-        stop = max(leaf * len(x) / r["n"], LEAST_NODE)
+        size = max(1, min(sample, SAMPLE_VALUES // r["d"]))
+        drawn = nodes.where(F.size("v") == r["d"]).orderBy(F.xxhash64("node"), "node").select("v").limit(size).collect()
+        x = unit(np.array([v["v"] for v in drawn], np.float64))
+        stop = max(leaf * len(x) / r["most"], LEAST_NODE)
         # where one leaf holds all, nothing is cut
-        cells = Cells(x if len(x) > stop else x[:0], stop / 2, threshold)
+        cells = Cells(x if len(x) > stop else x[:0], min(stop, leaf * len(x) / r["n"]) / 2, threshold)
         forest = Forest(x[cells.free] if len(cells.centers) else x, stop)
         forests[r["d"]] = (base, cells, forest)
         base += len(cells.centers) + forest.leaves
     shared = spark.sparkContext.broadcast((forests, base))
-    placed = nodes.select("node", "n", "label", "v", _place_udf(shared)("v").alias("leaves"))
-    dealt = placed.select("node", "n", "label", "v", "leaves", F.explode("leaves").alias("at"))
+    placed = nodes.select("node", "n", "label", "v", _place_udf(shared)("v").alias("places"))
+    codes = F.transform("places", lambda p: p["leaf"])
+    dealt = placed.select("node", "n", "label", "v", codes.alias("leaves"), F.explode("places").alias("p"))
     # a cell that a row is only shown to stands as the complement of its number
-    core = F.col("at") >= 0
-    dealt = dealt.select("node", "n", "label", "v", "leaves", F.when(core, F.col("at")).otherwise(F.bitwise_not("at")).alias("leaf"), core.alias("core"))
+    core = F.col("p.leaf") >= 0
+    dealt = dealt.select("node", "n", "label", "v", "leaves", F.when(core, F.col("p.leaf")).otherwise(F.bitwise_not("p.leaf")).alias("leaf"), core.alias("core"), F.col("p.tree").alias("tree"))
+    dealt = _split_leaves(dealt, most)
     keys = ["leaf", "label", "part"]
     large = dealt.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("rows"), F.count_if("core").alias("cores"))
     large = materialize(large.where((F.col("rows") > block) | (F.col("cores") == 0)), "embedding-large")
@@ -239,28 +258,72 @@ def _links(nodes: DataFrame, threshold: float, leaf: int, block: int) -> DataFra
     return dealt.groupBy(*keys).applyInPandas(_compare_udf(threshold), "node string, links long, root string")
 
 
+def _split_leaves(dealt: DataFrame, most: int) -> DataFrame:
+    """``dealt`` with every leaf of a tree split until it holds ``most`` rows of a label or no split helps.
+
+    A leaf is cut like a node of a tree, at the quantiles of its rows along a direction that its number
+    seeds, rows near the cut on both sides. Numbers of new leaves are hashes beyond all fitted ones.
+    """
+    of = ["leaf", "label"]
+    large = lambda df, size: materialize(df.where("tree").groupBy(*of).agg(F.count(F.lit(1)).alias("rows"), *size).where(F.col("rows") > most), "embedding-oversize")
+    over = large(dealt, [F.lit(None).cast("long").alias("before")])
+    if over.isEmpty():
+        return dealt.drop("tree")
+    dealt = dealt.drop("leaves").withColumn("before", F.lit(None).cast("long"))
+    while not over.isEmpty():
+        # a leaf that kept nine in ten rows of the one it came from is dense
+        live = over.where("before is null or rows < 0.9 * before").select(*of, "rows")
+        part = dealt.where("tree").join(live, of).withColumn("at", _project_udf()("v", "leaf"))
+        cuts = part.groupBy(*of).agg(F.percentile_approx("at", [0.5 - SPILL, 0.5 + SPILL], 10_000).alias("cut")).select(*(F.col(c).alias(f"_{c}") for c in of), "cut")
+        sides = F.array(F.when(F.col("at") <= F.col("cut")[1], F.lit(0)), F.when(F.col("at") >= F.col("cut")[0], F.lit(1)))
+        cut = part.join(cuts, (F.col("leaf") == F.col("_leaf")) & (F.col("label") == F.col("_label"))).withColumn("side", F.explode(F.array_compact(sides)))
+        child = F.xxhash64("leaf", "label", "side").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        cut = cut.select("node", "n", "label", "v", child.alias("leaf"), "core", "tree", F.col("rows").alias("before"))
+        dealt = dealt.join(live.select(*of, F.lit(True).alias("tree")), [*of, "tree"], "left_anti").select(*cut.columns).unionByName(cut)
+        dealt = materialize(dealt, "embedding-dealt")
+        over = large(dealt, [F.max("before").alias("before")]).where("before is null or rows < 0.9 * before")
+    code = F.when(F.col("core"), F.col("leaf")).otherwise(F.bitwise_not("leaf"))
+    leaves = dealt.groupBy("node").agg(F.sort_array(F.collect_set(code)).alias("leaves"))
+    return dealt.join(leaves, "node").select("node", "n", "label", "v", "leaves", "leaf", "core")
+
+
+def _project_udf():
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def project(vectors: pd.Series, leaves: pd.Series) -> pd.Series:
+        out = np.empty(len(vectors))
+        for leaf in leaves.unique():
+            at = np.flatnonzero(leaves.to_numpy() == leaf)
+            x = unit(np.stack([vectors.iloc[i] for i in at]).astype(np.float64))
+            out[at] = x @ np.random.default_rng(abs(int(leaf))).standard_normal(x.shape[1])
+        return pd.Series(out)
+
+    return project
+
+
 def _place_udf(shared):
     import pandas as pd
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<struct<leaf:long,tree:boolean>>")
     def place(vectors: pd.Series) -> pd.Series:
         forests, extra = shared.value
         out = [None] * len(vectors)
         sizes = np.array([len(v) for v in vectors])
+        put = lambda cells, leaves: [{"leaf": int(c), "tree": False} for c in cells] + [{"leaf": int(v), "tree": True} for v in leaves]
         for d in np.unique(sizes):
             at = np.flatnonzero(sizes == d)
-            if d not in forests:  # rare lengths have one leaf each, beyond all others
+            if d not in forests:  # rare lengths begin with one leaf each, beyond all others
                 for i in at:
-                    out[i] = [extra + int(d)]
+                    out[i] = put([], [extra + int(d)])
                 continue
             base, cells, forest = forests[d]
             x = unit(np.stack([vectors.iloc[i] for i in at]).astype(np.float64))
             home, shown = cells.place(x)
-            for i, h, cut in zip(at, home, shown):
-                out[i] = [~(base + v) for v in cut] + ([base + int(h)] if h >= 0 else [])
             rest = np.flatnonzero(home < 0)
-            for i, leaves in zip(at[rest], forest.place(x[rest])):
-                out[i] += [base + len(cells.centers) + v for v in leaves]
+            leaves = dict(zip(rest.tolist(), forest.place(x[rest])))
+            for k, (i, h, cut) in enumerate(zip(at, home, shown)):
+                out[i] = put([~(base + v) for v in cut] + ([base + h] if h >= 0 else []), [base + len(cells.centers) + v for v in leaves.get(k, ())])
         return pd.Series(out)
 
     return place
