@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-LOCAL_ROOT = "/tmp/checkpoints/silverlode"
+from ..sources.tables import scratch
+
+_made: list[tuple[SparkSession, str]] = []
 
 
 def reach_package(spark: SparkSession) -> None:
@@ -22,22 +23,11 @@ def reach_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(p for p in (here, known) if p)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Where the setting is absent only a local master may go on, with a folder of its own; on a cluster
-    a machine-local folder would lose data, so that case raises.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a shared folder")
-    return LOCAL_ROOT
-
-
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder under the one named by ``spark.checkpoint.dir``; only a local master may leave that unset, a cluster raises."""
+    path = scratch(spark, label)
+    _made.append((spark, path))
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -54,3 +44,14 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name += "_"
     return name
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has written, once no result over them is wanted; how many there were."""
+    mine = [path for of, path in _made if of is spark]
+    _made[:] = [m for m in _made if m[0] is not spark]
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in mine:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    return len(mine)

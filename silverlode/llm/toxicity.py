@@ -7,7 +7,7 @@ a grade of one or more is likelier than not.
 Cases, by definition: a null or empty text has no features and gets the base severity; labels that
 are null, or of documents that are absent, are left out of training; with no toxic label nothing is
 toxic; repeated documents and labels count as often as they occur within the sample; whole texts are
-read, whatever their length; extra columns are left alone.
+read, whatever their length; extra columns stay.
 """
 
 import re
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import fresh, materialize
 
 #: The bound of the labelled sample, of each class, taken in the order of seeded hashes of the ids.
 SAMPLE = 6000
@@ -181,5 +181,5 @@ def score_udf(model: OrdinalModel):
 
 
 def score(df: DataFrame, model: OrdinalModel, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """``df`` with ``severity``, ``grade`` and ``toxic`` in a struct column ``out``; no shuffle."""
-    return df.withColumn(out, score_udf(model)(F.col(text)))
+    """``df`` with ``severity``, ``grade`` and ``toxic`` in a struct column, named ``out`` or that and underscores where a column is so named; no shuffle."""
+    return df.withColumn(fresh(df, out), score_udf(model)(F.col(text)))

@@ -6,15 +6,19 @@ contract (``MAX_ROWS``), so one row holds it and gradient descent is a fold over
 
 Cases, by definition: a null url, or one without ``://``, has empty host and path, fits no rule and is
 judged on no n-grams, by the bias alone; repeated rows are judged alike; urls are read whole; an empty
-table gives an empty result; extra columns are kept.
+table gives an empty result; extra columns are kept, whatever their names; ties of rules cannot be, as
+longer wins and rules differ; a score equal to the threshold allows.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import fresh
+
+OUTPUTS = ("_host", "_path", "_rule", "_score", "_verdict")
 DIMENSIONS = 2048
 GRAMS = (3, 4)
-STEPS, RATE, L2 = 80, 4.0, 2e-4
+STEPS, RATE, L2 = 200, 8.0, 1e-4
 MAX_ROWS = 1000
 
 #: Fixed values, longest match wins: (verdict, host, path).
@@ -26,19 +30,30 @@ RULES = (
     ("block", "org", "/es/"),
 )
 
-#: The labelled table: names of hosts, each tried under several domains and paths.
-BLOCKED_NAMES = "spam-farm cheap-pills casino-bonus free-money adult-cams win-prizes payday-loans pills-online spam-links click-bait xxx-tube hot-dates bet-casino fake-watches lottery-win".split()
-ALLOWED_NAMES = "library city-museum open-science daily-herald gardening school-district thther therin blog.tion m.therou recipes history weather www.archive riverside ththan research-notes".split()
-DOMAINS = ("example.com", "example.net", "example.org")
-PATHS = ("/en/12", "/de/345", "/fr/6/", "/es/78.html")
+#: The labelled table: hosts and paths in plain words, each bad or good by itself. A bad part is seen with
+#: plain parts of the other kind, a good part with good and plain ones, so that host and path each carry weight.
+BAD_HOSTS = (
+    "spammy-offers spam-network linkspam farm-of-links cheapest-meds cheap-viagra pillstore rx-pills casino-royal casinobonus online-casino freemoney-now free-cash "
+    "adult-chat sexcams xxx-videos hot-singles winprizes prize-winner lottery-claims payday-cash quick-loans clickbait-daily replica-watches betting-tips poker-slots miracle-diet crypto-doubler"
+).split()
+GOOD_HOSTS = (
+    "library museum university news daily-paper garden school weather history recipes research archive city-council science music hospital railway observatory parliament theatre "
+    "flower-shop county-fair school-district open-data city-guide music-lessons bird-watching town-hall book-club art-gallery public-radio "
+    "blog wiki forum photos travel cooking sports chess birds mountains rivers engineering mathematics dictionary language children community software maps radio gallery"
+).split()
+BAD_PATHS = "/casino/bonus /free-money/now /cheap-pills/buy /win/prize-claim /xxx/cams/live /payday-loan/apply /viagra/order /hot-singles/chat /bet/slots/spin /replica/watches /click/spam/here /lottery/winner".split()
+GOOD_PATHS = "/about /article/2019/spring /docs/guide.html /news/local/41 /fr/12 /en/7 /de/345/ /es/78.html /research/paper.pdf /people/team /events/may /images/map.png /archive/1998/06 /contact /search /index.html /pt/3 /it/9".split()
+PLAIN_HOSTS = "site home page portal host server mirror static media main".split()
+DOMAINS = ("example.com", "example.net", "example.org", "test.invalid")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``(url, bad)``: every name under every domain, with paths in turn."""
-    rows = []
-    for bad, names in ((1, BLOCKED_NAMES), (0, ALLOWED_NAMES)):
-        for i, name in enumerate(names):
-            rows += [(f"https://{sub}{name}.{d}{PATHS[(i + k) % len(PATHS)]}", bad) for k, d in enumerate(DOMAINS) for sub in ("", "www.")]
+    """``(url, bad)``: the bad hosts under good paths, the bad paths under plain hosts, and good and plain hosts under good paths."""
+    pairs = [(1, h, GOOD_PATHS[i % len(GOOD_PATHS)]) for i, h in enumerate(BAD_HOSTS * 4)]
+    pairs += [(1, PLAIN_HOSTS[i % len(PLAIN_HOSTS)], p) for i, p in enumerate(BAD_PATHS * 7)]
+    pairs += [(0, h, GOOD_PATHS[(i + i // 40) % len(GOOD_PATHS)]) for i, h in enumerate(GOOD_HOSTS * 8)]
+    pairs += [(0, PLAIN_HOSTS[i % len(PLAIN_HOSTS)], GOOD_PATHS[(i * 7) % len(GOOD_PATHS)]) for i in range(120)]
+    rows = [(f"https://{'www.' if i % 3 == 0 else ''}{h}.{DOMAINS[i * 5 // 3 % len(DOMAINS)]}{p}", bad) for i, (bad, h, p) in enumerate(pairs)]
     return spark.createDataFrame(rows, "url string, bad int")
 
 
@@ -120,13 +135,19 @@ def train(labelled: DataFrame, url: str = "url", bad: str = "bad", dimensions: i
     return [*got["w"], got["c"]]
 
 
+def outputs(df: DataFrame) -> dict[str, str]:
+    """The names that the columns of ``judge`` have beside those of ``df``."""
+    return {n: fresh(df, n) for n in OUTPUTS}
+
+
 def judge(df: DataFrame, model: list[float], url: str = "url", rules=RULES, threshold: float = 0.5) -> DataFrame:
-    """``df`` with ``_host``, ``_path``, ``_rule``, ``_score`` and ``_verdict``; no shuffle."""
-    hosts, paths = host(F.col(url)), path(F.col(url))
-    out = df.withColumns({"_host": hosts, "_path": paths})
+    """``df`` with ``_host``, ``_path``, ``_rule``, ``_score`` and ``_verdict``, or what ``outputs`` says where columns are so named; no shuffle."""
+    names = outputs(df)
+    rows = df.select(F.struct(*(F.col(c) for c in df.columns)).alias("row"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     weights = F.array(*(F.lit(float(w)) for w in model[:-1]))
-    found = buckets(F.col("_host"), F.col("_path"), len(model) - 1)
+    found = buckets(F.col("host"), F.col("path"), len(model) - 1)
     score = F.when(F.size(found) == 0, _sigmoid(F.lit(model[-1]))).otherwise(_sigmoid(_score(found, weights, F.lit(model[-1]))))
-    rule, verdict = rule_for(F.col("_host"), F.col("_path"), rules)
-    out = out.withColumns({"_rule": rule, "_score": score})
-    return out.withColumn("_verdict", F.coalesce(verdict, F.when(F.col("_score") > threshold, "block").otherwise("allow")))
+    rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
+    rows = rows.withColumns({"rule": rule, "score": score})
+    made = {"_host": F.col("host"), "_path": F.col("path"), "_rule": F.col("rule"), "_score": F.col("score"), "_verdict": F.coalesce(verdict, F.when(F.col("score") > threshold, "block").otherwise("allow"))}
+    return rows.select(*(F.col("row")[c].alias(c) for c in df.columns), *(made[n].alias(name) for n, name in names.items()))

@@ -1,7 +1,7 @@
 import re
 
 import corpus_pipeline
-from silverlode.llm import mixing
+from plain import targets
 from test_simhash import brute, closure
 
 
@@ -36,7 +36,7 @@ def test_stages(spark, data):
         sizes[r[3]] = sizes.get(r[3], 0) + size(r[1])
     for r in rows[3]:
         taken[r[3]] = taken.get(r[3], 0) + size(r[1])
-    goal = dict(zip(sorted(sizes), mixing.targets([sizes[s] for s in sorted(sizes)])))
+    goal = dict(zip(sorted(sizes), targets([sizes[s] for s in sorted(sizes)])))
     least = {s: min(size(r[1]) for r in rows[2] if r[3] == s and size(r[1])) for s in sizes}
     assert all(abs(taken.get(s, 0) - goal[s]) <= 0.02 * goal[s] + least[s] for s in sizes), {s: (goal[s], taken.get(s, 0), least[s]) for s in sizes}  # no nearer than its smallest document, where there are few
     assert {r[0] for r in rows[3]} <= {r[0] for r in rows[2]}
@@ -47,6 +47,23 @@ def test_stages(spark, data):
         assert slots == list(range(len(slots)))
 
 
+def test_columns_of_any_name_pass_through(spark, data):
+    """Names that stages use inside, in other cases too; nulls, empty texts and repeated rows beside them."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 60")
+    odd = docs.where("doc_id < 3").select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"), "lang", F.lit(None).cast("string").alias("source"), "n_chars")
+    docs = docs.unionByName(docs.where("doc_id < 5")).unionByName(odd)
+    mine = ["shard", "Slot", "_size", "_SIZE_", "_copies", "_taken", "pii", "leaks", "LEAKS_", "_host", "_row", "_k1", "k1", "toxicity", "row", "_th", "fp", "_h"]
+    docs = docs.select("*", *(F.lit(f"my {n}").alias(n) for n in mine))
+    out = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.materialize(stage(spark, out, data), "clash-stage")
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+    assert out.columns[len(docs.columns) :] == ["shard_", "slot_"] and out.count() > 10
+    assert {tuple(r[n] for n in mine) for r in out.collect()} == {tuple(f"my {n}" for n in mine)}
+
+
 def test_empty_corpus(spark, data, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{data}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")

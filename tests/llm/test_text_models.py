@@ -4,8 +4,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from silverlode.llm import decontaminate, pii, secrets, toxicity
+from silverlode.llm.spans import Covered
 
 
 # ---- toxicity
@@ -235,6 +237,49 @@ def test_pii_patterns_are_linear():
         pii.base_spans(t)
 
 
+@pytest.mark.parametrize("unit", ["x 10.2.3.4 y ", "1 ", "1.2.", "at 5 dot ", "(415) 555 0132 ", "call a@b.co or 4111 1111 1111 1111, ", "deadbeef01 token=abcdef12 x9y8z7 ", "9", "a.", "@1 "])
+def test_spans_take_time_in_proportion_to_the_text(unit, field, formats):
+    """Texts dense in triggers, candidates and known spans."""
+    import time
+
+    took = []
+    for size in (40_000, 160_000):
+        text = unit * (size // len(unit))
+        began = time.perf_counter()
+        pii.added_spans(text, pii.base_spans(text), field)
+        secrets.added_spans(text, secrets.base_spans(text), formats)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 8 * took[0] + 0.5, took
+
+
+def test_lattice_holds_every_segment():
+    """Against all pieces tried with all kinds."""
+    rng, m = random.Random(14), pii.SemiMarkov({})
+    parts = ["at", "dot", "@", ".", " ", "  ", "\n", "-", "+", "(", ")", "1", "22", "555", "4111", "0123456789", "abc", "é", "_"]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        cuts, got = m.lattice(text)
+        want = []
+        for i in range(len(cuts) - 1):
+            for j in range(i + 1, min(i + pii.LONGEST, len(cuts) - 1) + 1):
+                s = text[cuts[i] : cuts[j]]
+                if "\n" in s:
+                    break
+                if not s[0].isspace() and s[0].isascii() and s[-1].isascii():
+                    want += [(i, j, k) for k in range(4) if pii.plausible(k, s) and len(re.sub("[^0-9]", "", s)) <= (10**6 if k == 0 else 19)]
+        assert [x[:3] for x in got] == want, text
+
+
+def test_covered_stretches():
+    rng = random.Random(15)
+    for _ in range(500):
+        spans = [(0, a, a + rng.randint(1, 6)) for a in (rng.randint(0, 30) for _ in range(rng.randint(0, 5)))]
+        c = Covered(spans)
+        for a in range(36):
+            for b in range(a + 1, a + 5):
+                assert c.meets(a, b) == any(a < y and x < b for _, x, y in spans)
+
+
 def pii_corpus(n=220):
     rng = random.Random(8)
     out = []
@@ -345,7 +390,12 @@ def test_span_queries_keep_the_base(spark, data, module, query, id_kind):
 
 
 def test_span_edges(spark):
-    docs = spark.createDataFrame([(1, None, "p"), (2, "", "q"), (None, "mail a@b.co", "r"), (2, "", "q")], "doc_id bigint, text string, pii string").drop("pii")
-    assert [r["pii"]["n_email"] for r in pii.with_spans(docs, pii.train(docs)).collect()] == [0, 0, 1, 0]
-    assert [r["secrets"]["spans"] for r in secrets.with_spans(docs, secrets.train(docs)).collect()] == ["", "", "", ""]
+    long = "word a@b.co 1.2.3.4 token=abcdef " * 40_000
+    docs = spark.createDataFrame([(1, None, "p"), (2, "", "q"), (None, "mail a@b.co", "r"), (2, "", "q"), (3, "mail a@b.co", "r"), (4, long, "s")], "doc_id bigint, text string, PII string").withColumn("secrets", F.lit(1)).withColumn("toxicity", F.lit(2))
+    found = pii.with_spans(docs, pii.train(docs)).collect()
+    assert [(r["PII"], r["pii_"]["n_email"]) for r in found] == [("p", 0), ("q", 0), ("r", 1), ("q", 0), ("r", 1), ("s", 40_000)]
+    found = secrets.with_spans(docs, secrets.train(docs)).collect()
+    assert [(r["secrets"], r["secrets_"]["n_assign"]) for r in found] == [(1, 0)] * 5 + [(1, 40_000)]
+    scored = toxicity.score(docs, toxicity.OrdinalModel((), np.zeros(0), np.full(3, 30.0)))
+    assert scored.columns[-2:] == ["toxicity", "toxicity_"] and {r["toxicity"] for r in scored.collect()} == {2}
     assert pii.with_spans(docs.limit(0), pii.train(docs.limit(0))).count() == 0
