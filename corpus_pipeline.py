@@ -1,4 +1,10 @@
-"""A training corpus from ``documents`` in five stages, each written as Parquet and read by the next."""
+"""A training corpus from ``documents`` in five stages, each written as Parquet and read by the next.
+
+Cases, by definition: a null or empty text is clean, holds no benchmark item, has size 0 and is a document
+like any other; of equal and near-equal texts the least id stays, of repeated rows one; a document that the
+mixture takes twice is there twice; empty tables give an empty corpus; columns of any name pass through,
+and where ``documents`` has a ``shard`` or ``slot`` of its own, the new one is ``shard_`` or ``slot_``.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +18,8 @@ from silverlode.llm.store import fresh, materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected grade is clean."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    found = fresh(docs, "_toxicity")
-    return toxicity.score(docs, model, out=found).where(~F.col(found)["toxic"]).select(*docs.columns)
+    scored = toxicity.score(docs, model)
+    return scored.where(~F.col(scored.columns[-1])["toxic"]).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,23 +29,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    out = fresh(docs, "_leaks")
-    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=out)
-    return found.where(F.size(out) == 0).select(*docs.columns)
+    found = decontaminate.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size(found.columns[-1]) == 0).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
-    mixed = mixing.mix(docs).where("_copies > 0")
-    copy = fresh(docs, "_copy")
-    out = mixed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias(copy))
-    return out.drop(copy)
+    copies = F.col(mixing.outputs(docs)["_copies"])
+    times = F.explode(F.array_repeat(F.lit(0), copies)).alias(fresh(docs, "_copy"))
+    return mixing.mix(docs).where(copies > 0).select(*docs.columns, times).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every record with its shard and its slot in the shuffled shard."""
-    out = sharding.shuffle_shards(docs)
-    return out.select(*docs.columns, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    """Every record with its ``shard`` and its ``slot`` in the shuffled shard, or those and underscores where a column is so named."""
+    names = sharding.outputs(docs)
+    made = [F.col(names[f"_{n}"]).alias(fresh(docs, n)) for n in ("shard", "slot")]
+    return sharding.shuffle_shards(docs).select(*docs.columns, *made)
 
 
 STAGES = [
