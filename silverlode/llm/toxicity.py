@@ -4,9 +4,13 @@ The model is P(grade <= k) = sigmoid(threshold_k - w.x) with one weight vector f
 a document's output is its expected severity, the sum over k of P(grade > k), and it is toxic when
 a grade of one or more is likelier than not.
 
+Labels are ordered grades, 0 for clean. Where they hold two grades or more above it, those are what
+is fitted; labels that say yes or no alone give the first threshold, and the toxic rows are then graded
+by the number of their toxic features.
+
 Cases, by definition: a null or empty text has no features and gets the base severity; labels that
-are null, or of documents that are absent, are left out of training; with no toxic label nothing is
-toxic; repeated documents and labels count as often as they occur within the sample; whole texts are
+are null, negative or no numbers, or of documents that are absent, are left out of training; with no
+toxic label nothing is toxic; repeated documents and labels count as often as they occur within the sample; whole texts are
 read, whatever their length; extra columns stay.
 """
 
@@ -101,6 +105,15 @@ def severity_grades(toxic: np.ndarray, hits: np.ndarray, grades: int) -> np.ndar
     return out
 
 
+def ordered_grades(label: np.ndarray, hits: np.ndarray, grades: int) -> np.ndarray:
+    """Grades 0, 1, 2 and on: the ranks of the labels where they tell toxic rows apart, more than ``grades`` of them merged in order."""
+    levels = np.unique(label[label > 0])
+    if len(levels) < 2:
+        return severity_grades((label > 0).astype(int), hits, grades)
+    rank = np.searchsorted(levels, label)
+    return np.where(label > 0, 1 + (rank * grades // len(levels) if len(levels) > grades else rank), 0)
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
@@ -112,16 +125,16 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, top: int = FEATURES, least: int = LEAST, grades: int = GRADES) -> OrdinalModel:
-    """Fit on a bounded sample of labelled rows: ``sample`` of each class at most, in hash order.
+    """Fit on a bounded sample of labelled rows: ``sample`` of the clean and of the toxic at most, in hash order.
 
     The sampled ids are bounded by that parameter, so they are broadcast; feature counts are gathered
     with a distributed aggregation and only the ``top`` features by chi-square reach the driver.
     """
-    known = labels.select(F.col(id).alias("_lid"), F.col(label).cast("int").alias("toxic")).where("_lid is not null and toxic in (0, 1)")
+    known = labels.select(F.col(id).alias("_lid"), F.col(label).try_cast("int").alias("_grade")).where("_lid is not null and _grade >= 0")
     order = F.xxhash64(F.lit(17), F.col("_lid"))
-    picked = known.where("toxic = 1").orderBy(order, "_lid").limit(sample).unionByName(known.where("toxic = 0").orderBy(order, "_lid").limit(sample))
-    picked = materialize(picked, "toxicity-sample-ids")
-    rows = docs.select(F.col(id).alias("_did"), F.col(text).alias("text")).join(F.broadcast(picked), F.col("_did") == F.col("_lid")).select("_did", "text", "toxic")
+    toxic_first = [known.where(c).orderBy(order, "_lid", "_grade").limit(sample) for c in ("_grade > 0", "_grade = 0")]
+    picked = materialize(toxic_first[0].unionByName(toxic_first[1]), "toxicity-sample-ids")
+    rows = docs.select(F.col(id).alias("_did"), F.col(text).alias("text")).join(F.broadcast(picked), F.col("_did") == F.col("_lid")).select("_did", "text", "_grade", (F.col("_grade") > 0).cast("int").alias("toxic"))
     rows = materialize(rows, "toxicity-sample")
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
@@ -135,14 +148,15 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     names = tuple(r["feature"] for r in chosen.select("feature").collect())
     if not names:
         return OrdinalModel((), np.zeros(0), np.full(grades, 30.0))
-    encoded = rows.select("toxic", _hits_udf(names)("text").alias("hits")).collect()
+    encoded = rows.select("_grade", _hits_udf(names)("text").alias("hits")).collect()
     x = np.zeros((len(encoded), len(names)), np.float64)
     for i, r in enumerate(encoded):
         x[i, r["hits"]] = 1
-    toxic = np.array([r["toxic"] for r in encoded])
-    order = np.lexsort([x @ np.arange(1, len(names) + 1), toxic])
-    x, toxic = x[order], toxic[order]
-    w, cuts = fit_ordinal(x, severity_grades(toxic, x, grades), grades)
+    label = np.array([r["_grade"] for r in encoded])
+    order = np.lexsort([x @ np.arange(1, len(names) + 1), label])
+    x, label = x[order], label[order]
+    grade = ordered_grades(label, x, grades)
+    w, cuts = fit_ordinal(x, grade, max(int(grade.max()), 1))
     return OrdinalModel(names, w, cuts)
 
 

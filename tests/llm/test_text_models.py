@@ -1,12 +1,13 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.llm import decontaminate, pii, secrets, toxicity
+from silverlode.llm import decontaminate, pii, queries, secrets, toxicity
 from silverlode.llm.spans import Covered
 
 
@@ -46,13 +47,77 @@ def test_held_out_accuracy(spark):
     odd = toxicity.score(docs, model).join(labels.where("doc_id % 2 = 1"), "doc_id").select("toxicity.toxic", "lang", labels["toxic"].alias("label"), "text").collect()
     marked = [r for r in odd if r["label"] == 1 and len(re.findall(r"(?i)\b(idiot|moron|scum|clown|trash|loser|stupid|pathetic|worthless|disgusting)\b", r["text"])) >= 2]
     assert len(marked) > 80 and sum(r["toxic"] for r in marked) >= 0.95 * len(marked)
+    # of all that are labelled so, fitted on 218: words that the other half does not hold five times cannot be known
+    every = [r for r in odd if r["label"] == 1]
+    assert len(every) > 200 and sum(r["toxic"] for r in every) >= 0.85 * len(every)
     clean = [r for r in odd if r["label"] == 0]
     assert sum(r["toxic"] for r in clean) <= 0.01 * len(clean)
 
 
+def test_graded_labels_are_what_is_fitted(spark):
+    rng = random.Random(4)
+    mild, harsh = [f"mild{w}" for w in "abcde"], [f"harsh{w}" for w in "abcde"]
+
+    def row(i):
+        grade = i % 3
+        words = [f"w{rng.randrange(300)}" for _ in range(20)] + rng.sample(mild, 2) * (grade == 1) + rng.sample(harsh, 2) * (grade == 2)
+        return i, " ".join(words), grade * 5  # grades may be any ordered numbers
+
+    rows = [row(i) for i in range(600)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows[:300]], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    assert len(model.thresholds) == 2 and model.thresholds[0] < model.thresholds[1]
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, model).collect()}
+    held = [(got[i], grade // 5) for i, _, grade in rows[300:]]
+    # one weight for each word, shared by the thresholds: a word that is the mark of a middle grade ends between them
+    assert sum(t["grade"] == g for t, g in held) >= 0.95 * len(held)
+    mean = [np.mean([t["severity"] for t, of in held if of == g]) for g in range(3)]
+    assert mean[0] < 0.1 < 0.8 < mean[1] < 1.2 < 1.8 < mean[2]
+
+
+def test_grades_follow_the_labels():
+    label, none = np.array([0, 7, 2, 7, 9, 0]), np.zeros((6, 1))
+    assert toxicity.ordered_grades(label, none, 3).tolist() == [0, 2, 1, 2, 3, 0]
+    assert toxicity.ordered_grades(label, none, 2).tolist() == [0, 1, 1, 1, 2, 0]
+    assert toxicity.ordered_grades(np.minimum(label, 1), np.array([[0, 0], [1, 0], [1, 1], [1, 0], [1, 1], [0, 0]]), 2).tolist() == [0, 1, 2, 1, 2, 0]
+
+
+def test_toxicity_query_against_brute_force(spark):
+    """Features, their choice and every document's severity, spelled out; the fit itself has its own test above."""
+    path = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+
+    def found(text):
+        out = set()
+        for word in re.split(r"[\W\d_]+", text.lower()):
+            if word:
+                out |= {word} | {"^" + word[:n] for n in (3, 4, 5, 6) if n < len(word)}
+        return out
+
+    rows = [(found(texts[r["doc_id"]]), r["toxic"]) for r in labels.collect() if r["toxic"] in (0, 1) and r["doc_id"] in texts]
+    bad, good = sum(t for _, t in rows), sum(1 - t for _, t in rows)
+    hits = {1: Counter(f for fs, t in rows if t == 1 for f in fs), 0: Counter(f for fs, t in rows if t == 0 for f in fs)}
+    chosen = []
+    for f, a in hits[1].items():
+        b = hits[0][f]
+        if a >= toxicity.LEAST and a * good > toxicity.RATIO * b * bad:
+            chosen.append((-((a * (good - b) - b * (bad - a)) ** 2) * (bad + good) / max(1, bad * good * (a + b) * (bad + good - a - b)), f))
+    assert set(model.names) == {f for _, f in sorted(chosen)[: toxicity.FEATURES]}
+    weight = dict(zip(model.names, model.weights))
+    got = {r["doc_id"]: r for r in queries.op3_toxicity(spark, path).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        z = sum(weight.get(f, 0.0) for f in found(text))
+        above = [1 / (1 + np.exp(c - z)) for c in model.thresholds]
+        assert got[i]["severity"] == pytest.approx(sum(above), abs=1e-5)
+        assert got[i]["grade"] == sum(p > 0.5 for p in above) and got[i]["toxic"] == (above[0] > 0.5)
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(i, f"word{i} filler {'vile ' if i % 2 else ''}text", 1.0) for i in range(60)] + [(None, None, 2.0), (100, "", 2.0), (101, "vile " * 200_000, 2.0)], "doc_id bigint, text string, severity double")
-    labels = spark.createDataFrame([(i, i % 2, None) for i in range(60)] * 2 + [(None, 1, None), (5000, 1, None), (3, None, None)], "doc_id bigint, toxic int, text string")
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(60)] * 2 + [(None, 1, None), (5000, 1, None), (3, None, None), (4, -1, None)], "doc_id bigint, toxic int, text string")
     model = toxicity.train(docs, labels)
     got = {r["doc_id"]: r["toxicity"]["toxic"] for r in toxicity.score(docs, model).collect()}
     assert all(got[i] == bool(i % 2) for i in range(60)) and got[101] and not got[100] and not got[None]
