@@ -89,11 +89,11 @@ def normalize(df: DataFrame, spec: CdcSpec, known_keys: DataFrame | None = None)
     payload = payload_columns(events, spec)
     carried = [c for c in spec.meta if c in events.columns and c not in spec.sequence]
     same = [*spec.keys, "_op", *spec.sequence, *payload]
-    events = events.repartition(*spec.keys)
     by_key = [*spec.keys]
-    first = F.row_number().over(Window.partitionBy(*same).orderBy(*(earliest_first(carried) or [F.lit(1)])))
-    numbered = events.withColumn("_copy", first)
-    unique = numbered.where("_copy = 1").drop("_copy")
+    # copies are merged where they are read, so that a replayed event of any number of copies is one row a partition when it is shuffled
+    first = [F.min(F.struct(*carried)).alias("_first")] if carried else []
+    counted = events.groupBy(*same).agg(F.count(F.lit(1)).alias("_copies"), *first)
+    unique = counted.select(*(F.col(f"_first.{c}") if c in carried else F.col(c) for c in events.columns)).repartition(*spec.keys)
     slot = Window.partitionBy(*by_key, *spec.sequence).orderBy(F.desc("_op"), F.desc_nulls_last("_content"))
     ranked = unique.withColumn("_content", content(payload) if payload else F.lit("")).withColumn("_rank", F.row_number().over(slot)).drop("_content")
     winners, losers = ranked.where("_rank = 1").drop("_rank"), ranked.where("_rank > 1").drop("_rank")
@@ -106,5 +106,5 @@ def normalize(df: DataFrame, spec: CdcSpec, known_keys: DataFrame | None = None)
         known = known_keys.select(*spec.keys).distinct().withColumn("_known", F.lit(True))
         marked = winners.withColumn("_orphan", orphan).join(known, list(spec.keys), "left")
         marked = marked.withColumn("is_orphan_delete", F.col("_orphan") & F.col("_known").isNull()).drop("_orphan", "_known")
-    replays = numbered.where("_copy > 1").agg(F.count(F.lit(1)).alias("replays_dropped"))
+    replays = counted.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("replays_dropped"))
     return NormalizedStream(marked.where("not is_orphan_delete").drop("is_orphan_delete"), marked.where("is_orphan_delete"), losers, replays, marked)

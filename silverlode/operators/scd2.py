@@ -20,9 +20,10 @@ def rebuild(events: DataFrame, keys: list[str], sequence: list[str], attributes:
     states = events.select(*keys, *sequence, *(F.when(~deleted, F.col(a)).alias(a) for a in attributes), deleted.alias("is_deleted"))
     if history is not None:
         states = states.unionByName(history.select(*keys, *sequence, *attributes, "is_deleted"))
-    states = states.repartition(*keys).withColumn("_content", F.when(F.col("is_deleted"), F.lit("")).otherwise(content(attributes) if attributes else F.lit("{}")))
-    place = Window.partitionBy(*keys, *sequence).orderBy(F.col("is_deleted"), F.desc("_content"))
-    states = states.withColumn("_rank", F.row_number().over(place)).where("_rank = 1").drop("_rank")
+    states = states.withColumn("_content", F.when(F.col("is_deleted"), F.lit("")).otherwise(content(attributes) if attributes else F.lit("{}")))
+    # one state a place is left where the rows are read, so that only such states are shuffled to their key
+    best = F.max_by(F.struct("is_deleted", "_content", *attributes), F.struct(~F.col("is_deleted"), "_content"))
+    states = states.groupBy(*keys, *sequence).agg(best.alias("_best")).select(*keys, *sequence, "_best.*").repartition(*keys)
     chain = Window.partitionBy(*keys).orderBy(*earliest_first(sequence))
     states = states.withColumn("_before", F.lag("_content").over(chain))
     states = states.where(~F.col("_content").eqNullSafe(F.col("_before")) | F.col("_before").isNull())

@@ -41,9 +41,36 @@ def test_normalize_accounts_for_every_event(spark):
     assert n.applied.count() + n.held_orphans.count() + n.conflicts.count() + n.replays.first()[0] == len(rows)
 
 
-def test_windows_share_one_exchange(spark):
-    plan = cdc.normalize(events(spark, ("U", 1, "A", "t", 1)), SPEC).applied._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_share_one_exchange_behind_merged_copies(spark):
+    applied = cdc.normalize(events(spark, ("U", 1, "A", "t", 1)), SPEC).applied
+    for df in (applied, scd2.rebuild(events(spark, ("U", 1, "A", "t", 1)).withColumnRenamed("op", "_op"), *HIST)):
+        plan = planned(df)
+        assert plan.count("Exchange ") == 2 and plan.count("REPARTITION_BY_COL") == 1
+        assert "Aggregate(" in plan[plan.rindex("Exchange ") :], "copies are merged before the first shuffle"
+
+
+@pytest.mark.parametrize("copies", [1, 4000])
+def test_copies_of_one_event_are_few_rows_when_shuffled(spark, copies):
+    story = [("U", 1, "A", "t1", 1), ("U", 1, "B", "t2", 1), ("D", 1, None, "t2", 1), ("U", 1, "C", "t2", 1), ("D", 1, None, "t3", 1)]
+    n = cdc.normalize(events(spark, *story * copies), SPEC)
+    assert out(n.applied) == sorted([("U", 1, "A", "t1", 1), ("U", 1, "C", "t2", 1), ("D", 1, None, "t3", 1)], key=repr)
+    assert n.conflicts.count() == 2 and n.held_orphans.isEmpty() and n.replays.first()[0] == 5 * (copies - 1)
+    h = scd2.rebuild(events(spark, *story * copies).withColumnRenamed("op", "_op"), *HIST)
+    assert [(r["tier"], r["is_deleted"]) for r in h.orderBy("ts").collect()] == [("A", False), ("C", False), (None, True)]
+
+
+def test_the_first_copy_is_the_one_kept(spark):
+    spec = cdc.CdcSpec(("cid",), ("ts",), "op")
+    rows = spark.createDataFrame([("U", 1, "A", "t1", "f2#1", "f2"), ("U", 1, "A", "t1", "f1#9", "f1"), ("U", 1, "A", "t1", None, "f3")], "op string, cid bigint, tier string, ts string, _ingestion_order string, _source_file string")
+    kept = cdc.normalize(rows, spec).applied
+    assert kept.columns == ["cid", "tier", "ts", "_ingestion_order", "_source_file", "_op"]
+    assert [(r["_ingestion_order"], r["_source_file"]) for r in kept.collect()] == [(None, "f3")]
+    assert [r["_ingestion_order"] for r in cdc.normalize(rows.where("_ingestion_order is not null"), spec).applied.collect()] == ["f1#9"]
+    assert cdc.normalize(rows.limit(0), spec).replays.first()[0] == 0
 
 
 def test_unify_refuses_other_columns(spark):
