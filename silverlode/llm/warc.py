@@ -8,13 +8,17 @@ Cases, by definition: a null html is an empty payload; null urls are written as
 ids as an empty field, and both come back as nulls; payloads under ``least`` bytes are never revisits;
 of equal payloads every row with the largest id is a response and rows without ids revisit it; where
 no row of them has an id all are responses; repeated rows share record ids and are paired by
-their order, one capture for each; a record without a partner makes a capture with nulls in its
+their order within a file, one capture for each; a record without a partner makes a capture with nulls in its
 place; no pages make no captures; extra columns are left alone.
 """
 
+import gzip
 import hashlib
+import io
 import re
 from collections.abc import Iterator
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +29,8 @@ from .store import materialize
 LEAST = 1000
 #: Payload bytes of an archive file, about.
 FILE_BYTES = 16 << 20
+#: Archives of more bytes are not loaded by Spark but read as streams by the workers.
+WHOLE = 128 << 20
 #: A fixed date, so that rewriting the same pages gives the same archives.
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
@@ -86,38 +92,61 @@ def write_warc(pages: DataFrame, path: str, id: str = "page_id", url: str = "url
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
-    """Header fields (lower-cased names) and block of each record, by Content-Length, never by separators."""
-    at = 0
+def parse_records(stream: BinaryIO) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """Header fields (lower-cased names) and block of each record, by Content-Length, never by separators.
+
+    One record is held at a time; anything but whole records is an error that names the record's number.
+    """
+    count = 0
     while True:
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-        if at >= len(data):
+        line = stream.readline()
+        while line == CRLF.encode():
+            line = stream.readline()
+        if not line:
             return
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
+        count += 1
+        head = b""
+        if line.startswith(b"WARC/"):
+            while (line := stream.readline()) not in (CRLF.encode(), b""):
+                head += line
+        if line != CRLF.encode():
+            raise ValueError(f"no WARC record in place {count}")
         fields: dict[str, list[str]] = {}
-        for m in _FIELD.finditer(data, data.find(b"\r\n", at) + 2, end + 2):
+        for m in _FIELD.finditer(head):
             fields.setdefault(m[1].decode("utf-8", "replace").strip().lower(), []).append(m[2].decode("utf-8", "replace").strip())
         size = int(fields["content-length"][0])
-        yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+        block = stream.read(size)
+        if len(block) < size:
+            raise ValueError(f"WARC record in place {count} is cut short")
+        yield fields, block
 
 
-def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import gzip
+def _plain(stream: BinaryIO) -> BinaryIO:
+    """``stream``, which can be peeked into, decompressed if it is gzip of any number of members."""
+    return gzip.GzipFile(fileobj=stream) if stream.peek(2)[:2] == b"\x1f\x8b" else stream
+
+
+def _open(path: str) -> BinaryIO:
+    """A stream over a file of any size, from this worker."""
+    from pyarrow import fs
 
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return open("/" + rest.lstrip("/"), "rb")
+    files, at = fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + quote(rest, safe="/:@"))
+    return io.BufferedReader(files.open_input_stream(at, compression=None), 1 << 20)
+
+
+def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
         ("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("target", pa.string()), ("payload_digest", pa.string()),
         ("fields", pa.map_(pa.string(), pa.string())), ("payload_bytes", pa.int64()), ("payload", pa.binary()), ("file", pa.string()), ("place", pa.int64()),
     ])
     for batch in batches:
         for path, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-            data, rows, held = data.as_py(), [], 0
-            if data[:2] == b"\x1f\x8b":
-                data = gzip.decompress(data)
-            for place, (fields, block) in enumerate(parse_records(data)):
+            rows, held = [], 0
+            stream = io.BufferedReader(io.BytesIO(data.as_py())) if data.is_valid else _open(path)
+            for place, (fields, block) in enumerate(parse_records(_plain(stream))):
                 one = lambda name, fields=fields: (fields.get(name) or [None])[0] or None
                 kind, notes, payload = one("warc-type"), {}, block
                 if kind in ("response", "revisit", "request") and (one("content-type") or "").startswith("application/http"):
@@ -130,25 +159,38 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if held > 8 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
                     rows, held = [], 0
+            stream.close()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``, plain or gzip; a task holds one file at a time."""
+def read_warc(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """One row per record of the archives under ``path``, plain or gzip.
+
+    Files of at most ``whole`` bytes come through Spark, a scan task's share of them in memory at once. Larger
+    ones are opened by the workers, which must reach the file system through Arrow, and held a record at a time.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(_read_batches, RECORD)
+    records = files.where(F.col("length") <= whole).select("path", "content").mapInArrow(_read_batches, RECORD)
+    large = files.where(F.col("length") > whole).select("path")
+    if large.isEmpty():
+        return records
+    # dealt singly, as a scan would pack files into tasks by their bytes
+    large = large.repartition("path").withColumn("content", F.lit(None).cast("binary"))
+    return records.unionByName(large.mapInArrow(_read_batches, RECORD))
 
 
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: ``capture_id``, ``response`` (or revisit), and arrays of its ``requests`` and ``metadata``.
 
     A record belongs to the response that it names as concurrent, or that names it, or that the
-    request does which it names. Where a response's id is repeated, the n-th of each kind belong together.
+    request does which it names. Where a response's id is repeated, records of one file belong together, the n-th of
+    each kind in it; those in files without such a response go to one file that has it. So no id, however
+    often it is repeated, brings more than a file's records together.
     """
     main = F.col("type").isin("response", "revisit")
     named = F.try_element_at(F.col("concurrent_to"), F.lit(1))
-    links = materialize(records.select("record_id", main.alias("main"), "concurrent_to", named.alias("named")), "warc-links")
+    links = materialize(records.select("record_id", main.alias("main"), "concurrent_to", named.alias("named"), F.xxhash64("file").alias("at")), "warc-links")
     by_response = links.where("main").select(F.explode("concurrent_to").alias("via"), F.col("record_id").alias("to"))
     by_request = links.where("not main and named is not null and named <> record_id").select(F.col("record_id").alias("via"), F.col("named").alias("to"))
     wanted = links.where("not main").select(F.coalesce("named", "record_id").alias("want")).distinct()
@@ -156,22 +198,32 @@ def assemble(records: DataFrame) -> DataFrame:
     wanted = wanted.join(mains, "want", "left_anti")
     hops = by_response.unionByName(by_request).join(wanted, F.col("via") == F.col("want"), "left_semi").groupBy("via").agg(F.min("to").alias("to"))
     hops = materialize(hops, "warc-hops")
+    homes = links.where("main").select(F.col("record_id").alias("_key"), F.col("at").alias("_home"))
+    spread = homes.groupBy("_key").agg(F.min("_home").alias("_least"), F.max("_home").alias("_last")).where("_least <> _last").drop("_last")
+    spread = materialize(spread, "warc-spread")
     body = F.struct(*(c for c in records.columns if c != "concurrent_to"))
     key = F.when(main, F.col("record_id")).otherwise(F.coalesce(named, F.col("record_id")))
     kind = F.when(main, "main").when(F.col("type") == "request", "request").otherwise("metadata")
     keyed = records.select(key.alias("key"), kind.alias("kind"), "file", "place", body.alias("body"))
     if not hops.isEmpty():
         keyed = keyed.join(hops, F.col("key") == F.col("via"), "left").withColumn("key", F.coalesce("to", "key")).drop("via", "to")
-    keyed = keyed.repartition("key")
-    count = F.sum(F.when(F.col("kind") == "main", 1).otherwise(0)).over(Window.partitionBy("key"))
-    rank = F.row_number().over(Window.partitionBy("key", "kind").orderBy("file", "place"))
+    of = ["key"]
+    if not spread.isEmpty():
+        of = ["key", "at"]
+        homes = materialize(homes.join(spread, "_key", "left_semi").distinct().withColumnRenamed("_key", "_of"), "warc-homes")
+        own = F.xxhash64("file")
+        keyed = keyed.join(spread, F.col("key") == F.col("_key"), "left").join(homes, (F.col("key") == F.col("_of")) & (own == F.col("_home")), "left")
+        keyed = keyed.withColumn("at", F.coalesce("_home", "_least")).drop("_key", "_least", "_of", "_home")
+    keyed = keyed.repartition(*of)
+    count = F.sum(F.when(F.col("kind") == "main", 1).otherwise(0)).over(Window.partitionBy(*of))
+    rank = F.row_number().over(Window.partitionBy(*of, "kind").orderBy("file", "place"))
     ranked = keyed.withColumns({"mains": count, "rank": rank})
     nth = F.when(F.col("kind") == "main", F.col("rank")).otherwise(F.least("rank", F.greatest("mains", F.lit(1))))
     item = F.struct("file", "place", "body")
     pick = lambda k: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, item)), _by_place), lambda x: x["body"])
-    return ranked.groupBy(F.col("key").alias("capture_id"), nth.alias("nth")).agg(
+    return ranked.withColumn("nth", nth).groupBy(*of, "nth").agg(
         F.any_value(F.when(F.col("kind") == "main", F.col("body")), True).alias("response"), pick("request").alias("requests"), pick("metadata").alias("metadata")
-    )
+    ).select(F.col("key").alias("capture_id"), "nth", "response", "requests", "metadata")
 
 
 def _by_place(a: Column, b: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import io
 import itertools
 import random
 import re
@@ -447,5 +448,39 @@ def test_warc_query(spark, data):
 
 
 def test_broken_archive():
-    with pytest.raises(ValueError):
-        list(warc.parse_records(b"HTTP/1.1 200\r\n\r\nx"))
+    whole = record("response", "r") + record("metadata", "m", b"a\r\n\r\nb")
+    assert [b for _, b in warc.parse_records(io.BytesIO(whole))] == [b"x", b"a\r\n\r\nb"]
+    for broken in (b"HTTP/1.1 200\r\n\r\nx", whole[:-5], whole + b"WARC/1.0\r\nWARC-Type: x", b"\r\n\r\nx"):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(io.BytesIO(broken)))
+
+
+def test_large_archives_are_streamed(spark, tmp_path):
+    import gzip
+
+    parts = [record("response", f"r{i}", b"x" * 50 * i) + record("request", f"q{i}", WARC_Concurrent_To=f"<r{i}>") for i in range(40)]
+    (tmp_path / "a b%20.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    (tmp_path / "c.warc").write_bytes(b"".join(parts[:5]))
+    (tmp_path / "d.warc").write_bytes(b"")
+    seen = [sorted(map(repr, warc.read_warc(spark, str(tmp_path), whole).collect())) for whole in (1 << 20, 1100, 0)]
+    assert len(seen[0]) == 90 and seen[0] == seen[1] == seen[2]
+
+
+def test_copies_of_one_page_over_many_files(spark, tmp_path):
+    rows = [(1, "http://a/1", "x" * 1500)] * 300 + [(2, "http://a/2", "x" * 1500)] * 200 + [(3, "http://a/3", "y")]
+    path = str(tmp_path / "w")
+    warc.write_warc(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(8), path, file_bytes=30_000)
+    records = warc.read_warc(spark, path)
+    captures = warc.assemble(records).collect()
+    assert len({r["file"] for r in records.select("file").collect()}) > 20 and len(captures) == len(rows)
+    assert all(len(c["requests"]) == len(c["metadata"]) == 1 for c in captures)
+    assert all(c["response"]["file"] == c["requests"][0]["file"] == c["metadata"][0]["file"] for c in captures)
+    assert sorted((c["metadata"][0]["fields"]["page-id"], c["response"]["type"]) for c in captures) == [("1", "revisit")] * 300 + [("2", "response")] * 200 + [("3", "response")]
+
+
+def test_copies_of_a_response_in_files_of_their_own(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.warc").write_bytes(record("response", "r", name.encode()))
+    (tmp_path / "c.warc").write_bytes(record("request", "q", WARC_Concurrent_To="<r>"))
+    got = [(bytes(c["response"]["payload"]), len(c["requests"])) for c in warc.assemble(warc.read_warc(spark, str(tmp_path))).collect()]
+    assert sorted(p for p, _ in got) == [b"a", b"b"] and sorted(n for _, n in got) == [0, 1]
