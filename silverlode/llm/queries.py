@@ -24,9 +24,9 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = sharding.shuffle_shards(docs, keep=["doc_id"])
+    out = sharding.write_shards(docs, new_path(spark, "shards"))
     return out.select(
-        "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("key").alias("law"),
+        "doc_id", sharding.byte_size(F.col("text")).alias("size"), F.crc32("text").alias("text_crc32"), F.lit("key").alias("law"),
         F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.col("_grown").alias("grown_shard"),
     )
 

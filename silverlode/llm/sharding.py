@@ -1,27 +1,34 @@
 """Sharding by a two-pass external shuffle, in DataFrame functions alone.
 
-Pass one scatters records by seeded hashes into buckets small enough for memory; pass two shuffles
-each bucket by Fisher-Yates and lays the buckets of a shard end to end. The shard itself follows
-from id and shard count (the highest of seeded hashes), so one more shard takes rows only into itself.
+The shard of a record follows from its id and the shard count (the highest of seeded hashes), so one
+more shard takes rows only into itself. Pass one scatters the whole records of each shard by seeded
+hashes over piles small enough for memory, through Spark's exchange, so on disk. Pass two shuffles each
+pile by a seeded Fisher-Yates and lays the piles of a shard end to end.
 
 Cases, by definition: a null text has size 1 and no checksum; a null id is an id like any other;
-repeated rows go to the same shard and each has a slot; an empty table gives an empty result; a very
-long text makes its bucket larger, never lost; extra columns are kept, whatever their names. Rows that
-agree in id and text share a bucket, as nothing tells them apart.
+repeated rows go to the same shard, where each is scattered by itself and has a slot (those that Spark's
+groups hold equal count as repeats, so -0.0 may come back as 0.0 in one); an empty table gives an empty
+result; a very long text makes its pile larger, never lost; extra columns are kept, whatever their names.
 """
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from .store import fresh, materialize
 
 OUTPUTS = ("_size", "_crc", "_shard", "_slot", "_grown")
 SHARDS = 16
 SEED = 2
-#: Bytes of records in a bucket, on average.
+#: Bytes of records in a pile, on average, and what a record counts beside its texts.
 BUCKET_BYTES = 8 << 20
-#: Reduce tasks at most; where there are more buckets, a task shuffles several, one after the other.
+RECORD_BYTES = 64
+#: Tasks of pass two at most; where there are more piles, a task shuffles several that follow each other.
 TASKS = 20_000
+#: Repeats of one row that a task deals.
+BLOCK = 1 << 16
 
 
 def byte_size(column):
@@ -33,31 +40,54 @@ def shard_of(id: str, shards: int, seed: int = SEED):
     return F.greatest(*(F.struct(F.xxhash64(F.lit(seed), F.lit(s), F.col(id)).alias("h"), F.lit(s).alias("s")) for s in range(shards)))["s"] if shards > 1 else F.lit(0)
 
 
+def _numbered(records: DataFrame) -> DataFrame:
+    """``records`` with ``_copy``: 0, and on from there for repeats of a row, so that hashes tell them apart.
+
+    Repeats are merged before they are shuffled and dealt again in blocks, so no task holds all of one row.
+    """
+    repeated = materialize(records.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key"), "repeated-rows")
+    zero = F.lit(0).cast("long").alias("_copy")
+    if repeated.isEmpty():
+        return records.select("*", zero)
+    merged = records.join(repeated, "_key", "left_semi").groupBy(*records.columns).agg(F.count(F.lit(1)).alias("_n"))
+    block, last = F.col("_block") * BLOCK, F.col("_n") - 1
+    blocks = merged.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK})")).alias("_block")).repartition("_key", "_block")
+    dealt = blocks.select(*records.columns, F.explode(F.sequence(block, F.least(last, block + (BLOCK - 1)))).alias("_copy"))
+    return records.join(repeated, "_key", "left_anti").select(*records.columns, zero).unionByName(dealt)
+
+
 def shuffle_shards(df: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, keep: list[str] | None = None) -> DataFrame:
     """``df`` (or its columns ``keep``) with ``_size``, ``_crc``, ``_shard``, ``_slot`` and ``_grown``: the shard if there were one more.
 
     Where a column that stays has one of those names, in any case, the new one is lengthened by
     underscores: ``outputs`` says what they are.
     """
-    total = df.agg(F.sum(byte_size(F.col(text)))).first()[0] or 0
-    per_shard = max(1, -(-total // (shards * bucket_bytes)))
     kept = list(df.columns if keep is None else keep)
     names = outputs(df.select(*kept))
-    sub = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id), F.col(text)), F.lit(per_shard))
+    texts = [f.name for f in df.select(*kept).schema if isinstance(f.dataType, StringType | BinaryType)]
+    load = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(RECORD_BYTES).cast("long"))
     records = df.select(
-        F.struct(*(F.col(c) for c in kept)).alias("_row"), byte_size(F.col(text)).alias("_size"), F.crc32(F.col(text)).alias("_crc"), F.xxhash64(F.lit(seed + 2), F.col(id), F.col(text)).alias("_order"),
-        shard_of(id, shards, seed).alias("_shard"), shard_of(id, shards + 1, seed).alias("_grown"), sub.alias("_sub"),
+        F.col(id).alias("_id"), F.xxhash64(F.lit(seed + 1), *(F.col(c) for c in dict.fromkeys([id, text, *kept]))).alias("_key"), F.struct(*(F.col(c) for c in kept)).alias("_row"),
+        byte_size(F.col(text)).alias("_size"), F.crc32(F.col(text)).alias("_crc"), shard_of(id, shards, seed).alias("_shard"), shard_of(id, shards + 1, seed).alias("_grown"),
     )
+    loads = {r["_s"]: r["_load"] for r in df.select(shard_of(id, shards, seed).alias("_s"), load.alias("_load")).groupBy("_s").agg(F.sum("_load").alias("_load")).collect()}
+    piles = [max(1, -(-loads.get(s, 0) // bucket_bytes)) for s in range(shards)]
+    before = [0, *accumulate(piles)]
+    tasks = min(before[-1], TASKS)
+    of_shard = lambda values: F.array(*(F.lit(v).cast("long") for v in values))[F.col("_shard")]
+
+    pile = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("_key"), F.col("_copy")), of_shard(piles))
+    scattered = _numbered(records).withColumn("_pile", pile)
+    task = F.floor((of_shard(before[:-1]) + F.col("_pile")) * tasks / before[-1]).cast("int")
     fields = ["_row", "_size", "_crc", "_grown"]
-    sortable = F.struct(F.col("_order"), *(F.col(f) for f in fields))
-    buckets = int(shards * per_shard)
-    gathered = records.repartition(min(max(buckets, 1), TASKS), "_shard", "_sub").groupBy("_shard", "_sub").agg(F.array_sort(F.collect_list(sortable)).alias("_rows"))
-    # Sorted rows, sorted buckets and a number of partitions that no plan changes: the seeded Fisher-Yates gives the same order on every run.
-    shuffled = gathered.sortWithinPartitions("_shard", "_sub").withColumn("_rows", F.shuffle("_rows", F.lit(seed)))
-    counts = records.groupBy("_shard", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    ends = Window.partitionBy("_shard").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialize(counts.select(F.col("_shard").alias("_s"), F.col("_sub").alias("_b"), F.coalesce(F.sum("_n").over(ends), F.lit(0)).alias("_start")), "shard-starts")
-    placed = shuffled.join(starts, (F.col("_shard") == F.col("_s")) & (F.col("_sub") == F.col("_b")))
+    content = F.struct("_id", "_key", *fields)
+    gathered = scattered.withColumn("_task", task).repartitionById(tasks, "_task").groupBy("_task", "_shard", "_pile").agg(F.sort_array(F.collect_list(content)).alias("_rows"))
+    # Rows in order of content, piles in order and a number of partitions that no plan changes: the seeded Fisher-Yates gives the same order on every run.
+    shuffled = gathered.sortWithinPartitions("_shard", "_pile").withColumn("_rows", F.shuffle("_rows", F.lit(seed)))
+    counts = scattered.groupBy("_shard", "_pile").agg(F.count(F.lit(1)).alias("_n"))
+    ends = Window.partitionBy("_shard").orderBy("_pile").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(counts.select(F.col("_shard").alias("_s"), F.col("_pile").alias("_p"), F.coalesce(F.sum("_n").over(ends), F.lit(0)).alias("_start")), "shard-starts")
+    placed = shuffled.join(starts, (F.col("_shard") == F.col("_s")) & (F.col("_pile") == F.col("_p")))
     rows = placed.select("_shard", "_start", F.posexplode("_rows").alias("_i", "_r"))
     made = {f: F.col("_r")[f] for f in fields[1:]} | {"_shard": F.col("_shard"), "_slot": (F.col("_start") + F.col("_i")).cast("long")}
     return rows.select(*(F.col("_r")["_row"][c].alias(c) for c in kept), *(made[n].alias(name) for n, name in names.items()))
@@ -69,8 +99,11 @@ def outputs(df: DataFrame) -> dict[str, str]:
 
 
 def write_shards(df: DataFrame, path: str, **options) -> DataFrame:
-    """Write each shard as Parquet under ``path/_shard=N`` (or the name of ``outputs``), its records in slot order, and return what was written."""
+    """Write each shard as Parquet under ``path/_shard=N`` (or the name of ``outputs``) and return what was written.
+
+    The tasks of pass two write their piles as they lie, each file in slot order; nothing is shuffled again.
+    """
     laid, names = shuffle_shards(df, **options), outputs(df if options.get("keep") is None else df.select(*options["keep"]))
     order = names["_shard"], names["_slot"]
-    laid.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(order[0]).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    laid.sortWithinPartitions(*order).write.partitionBy(order[0]).parquet(path)
+    return df.sparkSession.read.schema(laid.schema).parquet(path).select(*laid.columns)

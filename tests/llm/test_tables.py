@@ -177,6 +177,50 @@ def test_shard_query(spark, data):
     assert all(r["size"] == len(docs[r["doc_id"]].encode()) + 1 and r["text_crc32"] == zlib.crc32(docs[r["doc_id"]].encode()) and r["law"] == "key" for r in rows)
 
 
+def test_repeats_are_scattered(spark, monkeypatch):
+    """Pass one deals every record by itself: repeats of a row lie all over their shard, not in one pile, on every run alike."""
+    rows = [(1, "same " * 10, 1.5)] * 300 + [(1, f"text {i:04d} " * 5, None) for i in range(700)] + [(None, None, None)] * 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, extra double")
+    order = lambda out: [tuple(r)[:3] for r in sorted(out.collect(), key=lambda r: r["_slot"])]
+    found = order(sharding.shuffle_shards(df, shards=1, bucket_bytes=6000))
+    assert sorted(map(str, found)) == sorted(map(str, rows))
+    tenths = [sum(r[1] is not None and r[1][0] == "s" for r in found[i * 104 : i * 104 + 104]) for i in range(10)]
+    assert min(tenths) >= 12 and max(tenths) <= 48, tenths
+    monkeypatch.setattr(sharding, "BLOCK", 7)
+    assert order(sharding.shuffle_shards(df.repartition(5), shards=1, bucket_bytes=6000)) == found
+
+
+def test_piles_fit_memory(spark):
+    """A shard's own bytes, of all its texts and records, size its piles: one id with all rows, short texts, a long column beside them."""
+    piles = lambda df, **k: sharding.shuffle_shards(df, shards=4, bucket_bytes=10_000, **k).select(F.spark_partition_id()).distinct().count()
+    ids = spark.range(1000)
+    assert piles(ids.select(F.lit(5).alias("doc_id"), F.concat(F.lit("x" * 100), "id").alias("text"))) >= 12
+    assert piles(ids.select(F.col("id").alias("doc_id"), F.lit("").alias("text"))) >= 6
+    assert piles(ids.select(F.col("id").alias("doc_id"), F.lit("").alias("text"), F.repeat(F.lit("h"), 200).alias("html"))) >= 20
+
+
+def test_shard_files_are_piles_end_to_end(spark, odd_docs, tmp_path):
+    """The files of a shard, by name, hold its whole records in slot order."""
+    back = sharding.write_shards(odd_docs, str(tmp_path / "s"), shards=3, bucket_bytes=2000)
+    assert sorted(map(str, (tuple(r)[:4] for r in back.collect()))) == sorted(str(tuple(r)) for r in odd_docs.collect())
+    for s in range(3):
+        files = sorted((tmp_path / "s" / f"_shard={s}").glob("*.parquet"))
+        slots = [r["_slot"] for f in files for r in spark.read.parquet(str(f)).collect()]
+        assert len(files) > 1 and slots == list(range(len(slots)))
+    assert sharding.write_shards(odd_docs.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_shard_query_reads_shards(spark, data):
+    """The query's rows come from written shards that hold the whole documents."""
+    from silverlode.llm.queries import op2_sharding
+
+    files = op2_sharding(spark, data).inputFiles()
+    assert files and all("/_shard=" in f for f in files)
+    written = spark.read.parquet(*files).select("doc_id", "text")
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    assert written.count() == docs.count() and written.exceptAll(docs).isEmpty()
+
+
 # ---- mixing
 
 
