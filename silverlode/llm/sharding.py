@@ -6,9 +6,9 @@ hashes over piles small enough for memory, through Spark's exchange, so on disk.
 pile by a seeded Fisher-Yates and lays the piles of a shard end to end.
 
 Cases, by definition: a null text has size 1 and no checksum; a null id is an id like any other;
-repeated rows go to the same shard, where each is scattered by itself and has a slot (those that Spark's
-groups hold equal count as repeats, so -0.0 may come back as 0.0 in one); an empty table gives an empty
-result; a very long text makes its pile larger, never lost; extra columns are kept, whatever their names.
+repeated rows go to the same shard, where each is scattered by itself and has a slot (in a table with repeats
+Spark's groups hand -0.0 back as 0.0); an empty table gives an empty result; a very long text makes its pile
+larger, never lost; extra columns are kept, whatever their names, of any type that Spark hashes and sorts.
 """
 
 from itertools import accumulate
@@ -40,20 +40,14 @@ def shard_of(id: str, shards: int, seed: int = SEED):
     return F.greatest(*(F.struct(F.xxhash64(F.lit(seed), F.lit(s), F.col(id)).alias("h"), F.lit(s).alias("s")) for s in range(shards)))["s"] if shards > 1 else F.lit(0)
 
 
-def _numbered(records: DataFrame) -> DataFrame:
-    """``records`` with ``_copy``: 0, and on from there for repeats of a row, so that hashes tell them apart.
-
-    Repeats are merged before they are shuffled and dealt again in blocks, so no task holds all of one row.
-    """
-    repeated = materialize(records.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key"), "repeated-rows")
-    zero = F.lit(0).cast("long").alias("_copy")
-    if repeated.isEmpty():
-        return records.select("*", zero)
-    merged = records.join(repeated, "_key", "left_semi").groupBy(*records.columns).agg(F.count(F.lit(1)).alias("_n"))
-    block, last = F.col("_block") * BLOCK, F.col("_n") - 1
-    blocks = merged.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK})")).alias("_block")).repartition("_key", "_block")
-    dealt = blocks.select(*records.columns, F.explode(F.sequence(block, F.least(last, block + (BLOCK - 1)))).alias("_copy"))
-    return records.join(repeated, "_key", "left_anti").select(*records.columns, zero).unionByName(dealt)
+def _dealt(groups: DataFrame, most: int) -> DataFrame:
+    """``groups``, each ``_n`` times, with ``_copy`` from 0 on, so that hashes tell repeats of a row apart; dealt in blocks, so no task makes all of one row."""
+    columns = [c for c in groups.columns if c != "_n"]
+    blocks = groups.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK})")).alias("_block"))
+    if most > BLOCK:
+        blocks = blocks.repartition("_key", "_block")
+    first = F.col("_block") * BLOCK
+    return blocks.select(*columns, F.explode(F.sequence(first, F.least(F.col("_n") - 1, first + (BLOCK - 1)))).alias("_copy"))
 
 
 def shuffle_shards(df: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, keep: list[str] | None = None) -> DataFrame:
@@ -66,25 +60,33 @@ def shuffle_shards(df: DataFrame, id: str = "doc_id", text: str = "text", shards
     names = outputs(df.select(*kept))
     texts = [f.name for f in df.select(*kept).schema if isinstance(f.dataType, StringType | BinaryType)]
     load = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(RECORD_BYTES).cast("long"))
+    whole = [F.col(c) for c in dict.fromkeys([id, text, *kept])]
     records = df.select(
-        F.col(id).alias("_id"), F.xxhash64(F.lit(seed + 1), *(F.col(c) for c in dict.fromkeys([id, text, *kept]))).alias("_key"), F.struct(*(F.col(c) for c in kept)).alias("_row"),
-        byte_size(F.col(text)).alias("_size"), F.crc32(F.col(text)).alias("_crc"), shard_of(id, shards, seed).alias("_shard"), shard_of(id, shards + 1, seed).alias("_grown"),
+        F.col(id).alias("_id"), F.struct(F.xxhash64(F.lit(seed + 1), *whole), F.xxhash64(F.lit(seed + 3), *whole)).alias("_key"), F.struct(*(F.col(c) for c in kept)).alias("_row"),
+        byte_size(F.col(text)).alias("_size"), F.crc32(F.col(text)).alias("_crc"), load.alias("_load"), shard_of(id, shards, seed).alias("_shard"), shard_of(id, shards + 1, seed).alias("_grown"),
     )
-    loads = {r["_s"]: r["_load"] for r in df.select(shard_of(id, shards, seed).alias("_s"), load.alias("_load")).groupBy("_s").agg(F.sum("_load").alias("_load")).collect()}
-    piles = [max(1, -(-loads.get(s, 0) // bucket_bytes)) for s in range(shards)]
+    # The size and number of each row by its hashes of 128 bits: all that the layout of piles and slots needs.
+    groups = materialize(records.groupBy("_shard", "_key").agg(F.count(F.lit(1)).alias("_n"), F.sum("_load").alias("_load")), "row-counts")
+    found = {r["_shard"]: r for r in groups.groupBy("_shard").agg(F.sum("_load").alias("_load"), F.max("_n").alias("_most")).collect()}
+    most = max((r["_most"] for r in found.values()), default=1)
+    piles = [max(1, -(-found[s]["_load"] // bucket_bytes)) if s in found else 1 for s in range(shards)]
     before = [0, *accumulate(piles)]
     tasks = min(before[-1], TASKS)
     of_shard = lambda values: F.array(*(F.lit(v).cast("long") for v in values))[F.col("_shard")]
 
-    pile = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("_key"), F.col("_copy")), of_shard(piles))
-    scattered = _numbered(records).withColumn("_pile", pile)
+    def scatter(dealt: DataFrame) -> DataFrame:
+        return dealt.withColumn("_pile", F.pmod(F.xxhash64(F.lit(seed + 2), F.col("_key"), F.col("_copy")), of_shard(piles)))
+
+    # Repeats are merged before they are shuffled, then dealt one by one.
+    each = records.drop("_load")
+    each = each.withColumn("_copy", F.lit(0).cast("long")) if most == 1 else _dealt(each.groupBy(*each.columns).agg(F.count(F.lit(1)).alias("_n")), most)
     task = F.floor((of_shard(before[:-1]) + F.col("_pile")) * tasks / before[-1]).cast("int")
     fields = ["_row", "_size", "_crc", "_grown"]
     content = F.struct("_id", "_key", *fields)
-    gathered = scattered.withColumn("_task", task).repartitionById(tasks, "_task").groupBy("_task", "_shard", "_pile").agg(F.sort_array(F.collect_list(content)).alias("_rows"))
+    gathered = scatter(each).withColumn("_task", task).repartitionById(tasks, "_task").groupBy("_task", "_shard", "_pile").agg(F.sort_array(F.collect_list(content)).alias("_rows"))
     # Rows in order of content, piles in order and a number of partitions that no plan changes: the seeded Fisher-Yates gives the same order on every run.
     shuffled = gathered.sortWithinPartitions("_shard", "_pile").withColumn("_rows", F.shuffle("_rows", F.lit(seed)))
-    counts = scattered.groupBy("_shard", "_pile").agg(F.count(F.lit(1)).alias("_n"))
+    counts = scatter(_dealt(groups.drop("_load"), most)).groupBy("_shard", "_pile").agg(F.count(F.lit(1)).alias("_n"))
     ends = Window.partitionBy("_shard").orderBy("_pile").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(counts.select(F.col("_shard").alias("_s"), F.col("_pile").alias("_p"), F.coalesce(F.sum("_n").over(ends), F.lit(0)).alias("_start")), "shard-starts")
     placed = shuffled.join(starts, (F.col("_shard") == F.col("_s")) & (F.col("_pile") == F.col("_p")))
